@@ -123,7 +123,8 @@ def dim_time_spanning(facts: DataFrame, ts: str = "reading_ts") -> DataFrame:
     """The hour spine from the first to the last fact."""
     ends = facts.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
     steps = F.sequence(F.date_trunc("hour", "lo"), F.date_trunc("hour", "hi"), F.expr("interval 1 hour"))
-    return dim_time_of(ends.select(F.explode(steps).cast("timestamp_ntz").alias("hour_ts")))
+    spine = ends.select(F.explode(steps).alias("hour_ts"))
+    return dim_time_of(spine.select(F.col("hour_ts").cast("timestamp_ntz").alias("hour_ts")))
 
 
 def fct_readings_normalized(enriched: DataFrame, devices: DataFrame, times: DataFrame) -> DataFrame:

@@ -256,4 +256,5 @@ def with_ctes(body: str) -> str:
     visit(body)
     if not needed:
         return body
-    return "WITH " + ",\n".join(f"{name} AS ({CTES[name]})" for name in needed) + "\n" + body
+    own = re.sub(r"^\s*WITH\b", ",", body, count=1)  # a body with its own CTEs continues the list
+    return "WITH " + ",\n".join(f"{name} AS ({CTES[name]})" for name in needed) + "\n" + own

@@ -115,8 +115,11 @@ def load_seeds(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
 
 def audit_load(parsed: DataFrame, as_of: Column | dt.datetime) -> DataFrame:
     """Per file: rows parsed, rows loaded, errors and a status. ``parsed`` carries ``_corrupt_record``."""
+    # the JSON reader wants a data column next to the corrupt one
+    witness = F.coalesce(F.col("reading_id"), F.lit("")) if "reading_id" in parsed.columns else F.lit("")
     counted = parsed.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("rows_parsed"), F.count(CORRUPT).alias("errors_seen")
+        F.count(F.lit(1)).alias("rows_parsed"),
+        F.count(F.when(F.col(CORRUPT).isNotNull(), witness)).alias("errors_seen"),
     )
     loaded = F.col("rows_parsed") - F.col("errors_seen")
     status = F.when(F.col("errors_seen") == 0, "SUCCESS").when(loaded == 0, "FAILED").otherwise("PARTIAL")
