@@ -5,7 +5,7 @@ The same expressions exist as SQL text in ``queries/oracle.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.timing import shift, trunc
@@ -68,8 +68,8 @@ def _file_of(loaded: Column) -> Column:
     return F.concat(F.lit("batch_"), F.date_format(loaded, "yyyy-MM-dd_HH"), F.lit(".json"))
 
 
-def staged(source: DataFrame) -> DataFrame:
-    """The 16 staging columns; every twentieth reading arrives a second time one hour later."""
+def staged(source: DataFrame, copies: bool = True) -> DataFrame:
+    """The 16 staging columns; with ``copies`` every twentieth reading arrives a second time one hour later."""
     e, k = F.col("event_id"), F.get_json_object("props", "$.k").cast("int")
     dev = F.col("user_id") % 50 + 1
 
@@ -78,7 +78,7 @@ def staged(source: DataFrame) -> DataFrame:
 
     null = F.lit(None)
     loaded = shift(trunc("hour", "ts"), "hour", 1)
-    copies = F.explode(F.when(every(20), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    twice = F.explode(F.when(every(20), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     rows = source.select(
         F.concat(F.lit("R"), e.cast("string")).alias("reading_id"),
         device_name_of(dev).alias("device_id"),
@@ -98,7 +98,7 @@ def staged(source: DataFrame) -> DataFrame:
         null.cast("double").alias("signal_strength"),
         null.cast("string").alias("temp_celsius_renamed"),
         F.when(every(23), shift(loaded, "hour", 3)).otherwise(loaded).alias("_loaded"),
-        copies.alias("_copy"),
+        (twice if copies else F.lit(0)).alias("_copy"),
     )
     arrival = F.when(F.col("_copy") == 1, shift(F.col("_loaded"), "hour", 1)).otherwise(F.col("_loaded"))
     rows = rows.withColumn("loaded_at", arrival).withColumn("source_file", _file_of(F.col("loaded_at")))
@@ -134,16 +134,13 @@ def stream_raw(source: DataFrame) -> DataFrame:
     The offset of a message is its rank inside its partition. It is computed as the rows in earlier id blocks
     plus the position inside the own block, so no partition is sorted in one task.
     """
-    from pyspark.sql import Window
-
-    once = staged(source).filter(F.col("loaded_at").isNotNull())
     number = F.substring("reading_id", 2, 20).cast("long")
     device = F.substring("device_id", 5, 10).cast("int")
-    first = once.withColumns({
+    first = staged(source, copies=False).withColumns({
         "_e": number,
         "source_partition": (device % 5).cast("long"),
         "_block": F.floor(number / 100_000),
-    }).dropDuplicates(["reading_id"])
+    })
     counts = first.groupBy("source_partition", "_block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("source_partition").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("source_partition", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

@@ -136,38 +136,41 @@ def null_counts(df: DataFrame, names: Sequence[str], by: Sequence[str] = ()) ->
     )
 
 
-def data_quality(staged: DataFrame, deduped: DataFrame, quarantined: DataFrame, late: DataFrame) -> DataFrame:
-    """Scorecard per source file.
+_FIELDS = ("temperature", "humidity", "pressure", "battery_pct")
 
-    The four inputs are reduced to counters, stacked, and summed by file in one shuffle; a file with very
-    many rows is combined on the map side.
-    """
-    fields = ("temperature", "humidity", "pressure", "battery_pct")
+
+def _staged_counters(staged: DataFrame, *keep: Column) -> DataFrame:
     nulls = F.lit(0)
-    for field in fields:
+    for field in _FIELDS:
         nulls = nulls + F.col(field).isNull().cast("int")
-    none = F.lit(0)
-
-    def counters(df: DataFrame, position: int, null_fields: Column = none, loaded: Column | None = None) -> DataFrame:
-        marks = [F.lit(int(i == position)).alias(f"_c{i}") for i in range(4)]
-        loaded_at = F.col("loaded_at") if loaded is None else loaded
-        return df.select("source_file", loaded_at.alias("_loaded"), null_fields.alias("_nulls"), *marks)
-
-    unloaded = F.lit(None).cast("timestamp_ntz")
-    stacked = counters(staged, 0, nulls)
-    for position, part in enumerate((deduped, quarantined, late), start=1):
-        stacked = stacked.unionByName(counters(part, position, none, unloaded))
-    summed = stacked.groupBy("source_file").agg(
-        F.max("_loaded").alias("batch_ts"),
-        F.sum("_nulls").alias("null_count"),
-        *[F.sum(f"_c{i}").alias(f"_n{i}") for i in range(4)],
-    ).filter(F.col("_n0") > 0)
+    zero = F.lit(0)
+    return staged.select(
+        "source_file", *keep, F.col("loaded_at").alias("_loaded"), nulls.alias("_nulls"), F.lit(1).alias("_rows"),
+        zero.alias("_kept"), zero.alias("_bad"), zero.alias("_late"),
+    )
+
+
+def _later_counters(rows: DataFrame, kept: Column, bad: Column, late: Column, *keep: Column) -> DataFrame:
+    return rows.select(
+        "source_file", *keep, F.lit(None).cast("timestamp_ntz").alias("_loaded"), F.lit(0).alias("_nulls"),
+        F.lit(0).alias("_rows"), kept.alias("_kept"), bad.alias("_bad"), late.alias("_late"),
+    )
+
+
+def _summed(counters: DataFrame, *by: str) -> DataFrame:
+    """One shuffle; a file with very many rows is combined on the map side."""
+    sums = [F.sum(f"_{c}").alias(f"_{c}") for c in ("nulls", "rows", "kept", "bad", "late")]
+    return counters.groupBy(*by).agg(F.max("_loaded").alias("_loaded"), *sums)
+
 
+def scorecard(counters: DataFrame) -> DataFrame:
+    """Shares and score per file from its counters."""
+    summed = _summed(counters, "source_file").filter(F.col("_rows") > 0).withColumnRenamed("_loaded", "batch_ts")
     named = F.col("source_file").isNotNull()  # counts of a NULL file match nothing
-    total = F.col("_n0")
-    duplicates = F.when(named & (F.col("_n1") > 0), total - F.col("_n1")).otherwise(F.lit(0))
-    bad = F.when(named, F.col("_n2")).otherwise(F.lit(0))
-    null_share = ratio(F.col("null_count"), total * 4) * 100
+    total = F.col("_rows")
+    duplicates = F.when(named & (F.col("_kept") > 0), total - F.col("_kept")).otherwise(F.lit(0))
+    bad = F.when(named, F.col("_bad")).otherwise(F.lit(0))
+    null_share = ratio(F.col("_nulls"), total * len(_FIELDS)) * 100
     duplicate_share = ratio(duplicates, F.when(named, total)) * 100
     bad_share = ratio(bad, total) * 100
     score = round_to(100 - null_share * 0.5 - duplicate_share * 0.3 - bad_share * 0.2, 2)
@@ -176,16 +179,49 @@ def data_quality(staged: DataFrame, deduped: DataFrame, quarantined: DataFrame,
         "batch_ts",
         "source_file",
         total.alias("total_records"),
-        "null_count",
+        F.col("_nulls").alias("null_count"),
         round_to(null_share, 2).alias("null_pct"),
         duplicates.alias("duplicate_count"),
         round_to(duplicate_share, 2).alias("duplicate_pct"),
         bad.alias("quarantined_count"),
-        F.when(named, F.col("_n3")).otherwise(F.lit(0)).alias("late_arrival_count"),
+        F.when(named, F.col("_late")).otherwise(F.lit(0)).alias("late_arrival_count"),
         floor_at(score, 0.0).alias("quality_score"),
     )
 
 
+def data_quality(staged: DataFrame, deduped: DataFrame, quarantined: DataFrame, late: DataFrame) -> DataFrame:
+    """Scorecard per source file from the four datasets."""
+    one, zero = F.lit(1), F.lit(0)
+    parts = (
+        _later_counters(deduped, one, zero, zero),
+        _later_counters(quarantined, zero, one, zero),
+        _later_counters(late, zero, zero, one),
+    )
+    counters = _staged_counters(staged)
+    for part in parts:
+        counters = counters.unionByName(part)
+    return scorecard(counters)
+
+
+def _both_counters(staged: DataFrame, validated: DataFrame, late_minutes: int, *keep: Column) -> DataFrame:
+    bad = (F.col("validation_error_count") > 0).cast("int")
+    delay = boundary_diff("minute", "reading_ts", "loaded_at")
+    late = F.coalesce(delay > late_minutes, F.lit(False)).cast("int")
+    later = _later_counters(validated, F.lit(1), bad, late, *keep)
+    return _staged_counters(staged, *keep).unionByName(later)
+
+
+def data_quality_of(staged: DataFrame, validated: DataFrame, late_minutes: int = 60) -> DataFrame:
+    """The same scorecard from two datasets: validated rows tell kept, quarantined and late in one pass."""
+    return scorecard(_both_counters(staged, validated, late_minutes))
+
+
+def quality_counters(staged: DataFrame, validated: DataFrame, late_minutes: int = 60) -> DataFrame:
+    """Counters per file and load day, which :func:`scorecard` adds up; a file loaded again has several days."""
+    day = F.to_date("loaded_at").alias("load_day")
+    return _summed(_both_counters(staged, validated, late_minutes, day), "source_file", "load_day")
+
+
 def fleet_overview(health: DataFrame, quality: DataFrame, anomaly_log: DataFrame) -> DataFrame:
     """Fleet KPIs per day; days come from the health facts."""
     status = F.col("health_status")

@@ -6,7 +6,12 @@ order axis into slices of about ``rows_per_slice`` rows, each slice is its own w
 few rows at slice borders, whose frame reaches back into earlier slices, are computed again over the border
 rows alone. The result is the same as the plain window for every input; slicing only decides who does the work.
 
-Everything broadcast here is bounded by construction: a key is hot only if it owns more than
+Whether there are hot keys is found by a small job when the plan is built, as range partitioning does for
+its bounds: a scan of the key and order columns with map-side counting. Without hot keys the plan is the plain
+window. Hot keys are cut evenly between their smallest and largest order value; a slice that is still too full,
+as after a burst, is cut again the same way, by the next order column if all its rows share the first one.
+
+All that is collected and broadcast is bounded by construction: a key is hot only if it owns more than
 ``1 / MAX_HOT_KEYS`` of all rows, and a slice is cut again only if it holds more than two such shares.
 """
 
@@ -19,11 +24,10 @@ from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 10_000
 ROWS_PER_SLICE = 5_000_000
-_SUB = 1 << 20  # sub-slices per slice
-_NULL_SLOT = 1 << 40  # rows without an order value sort last
+MAX_LEVELS = 10
 
 
-def _same(left: DataFrame, names: Sequence[str], prefix: str) -> Column:
+def _same(names: Sequence[str], prefix: str) -> Column:
     cond = F.lit(True)
     for name in names:
         cond = cond & F.col(name).eqNullSafe(F.col(f"{prefix}{name}"))
@@ -34,72 +38,86 @@ def _prefixed(names: Sequence[str], prefix: str) -> list[Column]:
     return [F.col(n).alias(f"{prefix}{n}") for n in names]
 
 
-def _slot() -> Column:
-    raw = F.when(F.col("_width") > 0, F.floor((F.col("_v") - F.col("_lo")) / F.col("_width"))).otherwise(F.lit(0))
-    return F.when(F.col("_v").isNull(), F.lit(_NULL_SLOT)).otherwise(raw.cast("long"))
-
-
 class HotKeys:
     """Finds hot keys of ``profile`` and cuts the rows of another frame accordingly.
 
-    ``profile`` only steers the cut, so it may be any cheap frame with about the same key distribution,
-    for instance the input of an expensive plan instead of its output.
+    ``axes`` are numbers that order the rows, most significant first. ``profile`` only steers the cut, so it may
+    be any cheap frame with about the same distribution, for instance the input of an expensive plan instead
+    of its output.
     """
 
-    def __init__(self, profile: DataFrame, keys: Sequence[str], value: Column, rows_per_slice: int = ROWS_PER_SLICE):
+    def __init__(self, profile: DataFrame, keys: Sequence[str], axes: Sequence[Column],
+                 rows_per_slice: int = ROWS_PER_SLICE):
         self.keys = list(keys)
-        self.value = value.cast("double")
-        self.spark = profile.sparkSession
-        narrow = profile.select(*self.keys, self.value.alias("_v"))
+        self.axes = [a.cast("double") for a in axes]
         total = profile.select(F.count(F.lit(1))).scalar()
-        share = F.greatest(F.lit(rows_per_slice).cast("double"), total / F.lit(MAX_HOT_KEYS))
-        found = (
-            narrow.groupBy(*self.keys)
-            .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-            .withColumn("_share", share)
-            .filter(F.col("_n") > F.col("_share"))
-            .select(
-                *_prefixed(self.keys, "_h_"),
-                "_lo",
-                ((F.col("_hi") - F.col("_lo")) * (F.col("_share") / F.col("_n"))).alias("_width"),
-                "_share",
-            )
+        self.share = F.greatest(F.lit(rows_per_slice).cast("double"), total / F.lit(MAX_HOT_KEYS))
+        self.levels: list[DataFrame] = []
+        rows = self._start(profile.select(*self.keys, *self._axis_columns()))
+        for level in range(MAX_LEVELS):
+            cells = self._full_cells(rows, 2 if level else 1)
+            found = cells.collect()  # at most MAX_HOT_KEYS rows
+            if not found:
+                break
+            self.levels.append(profile.sparkSession.createDataFrame(found, cells.schema))
+            rows = self._cut(rows, self.levels[-1], "left" if level else "inner")
+
+    @property
+    def exist(self) -> bool:
+        return bool(self.levels)
+
+    def _axis_columns(self) -> list[Column]:
+        return [a.alias(f"_v{i}") for i, a in enumerate(self.axes)]
+
+    def _start(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("_slice", F.array().cast("array<bigint>"))
+
+    def _full_cells(self, rows: DataFrame, shares: int) -> DataFrame:
+        """Cells with too many rows and the axis that can cut them: the first one with different values."""
+        numbers = range(len(self.axes))
+        bounds = [f(f"_v{i}").alias(f"_{n}{i}") for i in numbers for n, f in (("lo", F.min), ("hi", F.max))]
+        cells = rows.groupBy(*self.keys, "_slice").agg(F.count(F.lit(1)).alias("_n"), *bounds)
+        axis = F.coalesce(*[F.when(F.col(f"_hi{i}") > F.col(f"_lo{i}"), i) for i in numbers])
+        full = cells.filter(F.col("_n") > shares * self.share).withColumn("_axis", axis).filter("_axis IS NOT NULL")
+        low = F.element_at(F.array(*[F.col(f"_lo{i}") for i in numbers]), F.col("_axis") + 1)
+        high = F.element_at(F.array(*[F.col(f"_hi{i}") for i in numbers]), F.col("_axis") + 1)
+        return full.select(
+            *_prefixed(self.keys, "_h_"), F.col("_slice").alias("_h_slice"), "_axis", low.alias("_low"),
+            ((high - low) * (self.share / F.col("_n"))).alias("_width"),
         )
-        hot = found.collect()  # at most MAX_HOT_KEYS rows
-        self.exist = bool(hot)
-        if not hot:
-            return
-        row_share = hot[0]["_share"]
-        self.table = self.spark.createDataFrame(hot, found.schema).drop("_share")
-        slots = self._with_slot(narrow).groupBy(*self.keys, "_slot").agg(F.count(F.lit(1)).alias("_n"))
-        dense = slots.filter(F.col("_n") > 2 * row_share).select(
-            *_prefixed(self.keys, "_d_"),
-            F.col("_slot").alias("_d_slot"),
-            F.least(F.ceil(F.col("_n") / row_share), F.lit(_SUB)).cast("double").alias("_cuts"),
-        )
-        self.dense = self.spark.createDataFrame(dense.collect(), dense.schema)  # at most MAX_HOT_KEYS / 2 rows
 
-    def _with_slot(self, df: DataFrame) -> DataFrame:
-        joined = df.join(F.broadcast(self.table), _same(df, self.keys, "_h_"), "inner")
-        return joined.withColumn("_slot", _slot()).drop(*[f"_h_{k}" for k in self.keys])
+    def _cut(self, rows: DataFrame, level: DataFrame, how: str) -> DataFrame:
+        on = _same(self.keys, "_h_") & (F.col("_slice") == F.col("_h_slice"))
+        joined = rows.join(F.broadcast(level), on, how)
+        value = F.element_at(F.array(*[F.col(f"_v{i}") for i in range(len(self.axes))]), F.col("_axis") + 1)
+        # rows outside the profiled range only lengthen the first or last slice
+        step = F.greatest(F.lit(-1.0), F.least((value - F.col("_low")) / F.col("_width"), F.lit(1e9)))
+        slot = F.when(F.col("_width") > 0, F.floor(step)).otherwise(F.lit(0))
+        out = joined.withColumn("_slice", F.concat("_slice", F.array(F.coalesce(slot, F.lit(0)).cast("long"))))
+        return out.drop("_h_slice", "_axis", "_low", "_width", *[f"_h_{k}" for k in self.keys])
 
     def cold(self, df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(self.table), _same(df, self.keys, "_h_"), "left_anti")
+        hot = self.levels[0].drop("_h_slice", "_axis", "_low", "_width")
+        return df.join(F.broadcast(hot), _same(self.keys, "_h_"), "left_anti")
 
     def sliced(self, df: DataFrame) -> DataFrame:
-        """Rows of hot keys with ``_slice``, which grows with the order value."""
-        rows = self._with_slot(df.withColumn("_v", self.value))
-        on = _same(rows, self.keys, "_d_") & (F.col("_slot") == F.col("_d_slot"))
-        rows = rows.join(F.broadcast(self.dense), on, "left")
-        within = (F.col("_v") - F.col("_lo")) / F.col("_width") - F.col("_slot")
-        cut = F.greatest(F.lit(0.0), F.least(F.floor(within * F.col("_cuts")).cast("double"), F.col("_cuts") - 1))
-        sub = F.when(F.col("_cuts").isNotNull() & F.col("_v").isNotNull() & (F.col("_width") > 0), cut)
-        rows = rows.withColumn("_slice", F.col("_slot") * _SUB + F.coalesce(sub, F.lit(0.0)).cast("long"))
-        return rows.drop("_v", "_lo", "_width", "_slot", "_cuts", "_d_slot", *[f"_d_{k}" for k in self.keys])
+        """Rows of hot keys with ``_slice``, which grows with the order of the rows."""
+        rows = self._start(df.withColumns({f"_v{i}": a for i, a in enumerate(self.axes)}))
+        for number, level in enumerate(self.levels):
+            rows = self._cut(rows, level, "left" if number else "inner")
+        return rows.drop(*[f"_v{i}" for i in range(len(self.axes))])
+
+
+def _text_number(text: Column) -> Column:
+    """The first six bytes of a text as a number, which sorts like the text as far as it goes."""
+    digits = F.rpad(F.hex(F.left(text, F.lit(6))), 12, "0")
+    return F.conv(F.left(digits, F.lit(12)), 16, 10).cast("double")
 
 
-def micros(ts: str) -> Column:
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+def time_axes(ts: str, ties: Sequence[str] = ()) -> list[Column]:
+    """Axes of ``ORDER BY ts NULLS LAST, ties``; only a text tie can cut rows of equal time."""
+    axes = [F.col(ts).isNull().cast("int"), F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(0))]
+    return axes + [F.coalesce(_text_number(F.col(t).cast("string")), F.lit(float(1 << 48))) for t in ties[:1]]
 
 
 def rolling(
@@ -114,11 +132,12 @@ def rolling(
 ) -> DataFrame:
     """Add window columns that look at the current row and at most ``back`` rows before it, per key by time.
 
-    Each output is a function of the ordered window (``lag``) or of a row frame taken from it.
+    Each output is a function of the ordered window (``lag``) or of a row frame taken from it. The first tie
+    column should be text, for instance an id.
     """
     order = [F.col(c).asc_nulls_last() for c in (ts, *ties)]
     whole = Window.partitionBy(*keys).orderBy(*order)
-    hot = HotKeys(profile if profile is not None else df, keys, micros(ts), rows_per_slice)
+    hot = HotKeys(profile if profile is not None else df, keys, time_axes(ts, ties), rows_per_slice)
     if not hot.exist:
         return df.withColumns({name: make(whole) for name, make in outputs.items()})
 
@@ -153,7 +172,8 @@ def rank_in(
     """``rank()`` of ``metric`` within a group, highest first, NULL on top."""
     order = F.col(metric).desc_nulls_first()
     whole = F.rank().over(Window.partitionBy(*group).orderBy(order))
-    hot = HotKeys(df, group, F.col(metric), rows_per_slice)
+    axes = [F.col(metric).isNull().cast("int"), F.coalesce(F.col(metric), F.lit(0))]
+    hot = HotKeys(df, group, axes, rows_per_slice)
     if not hot.exist:
         return df.withColumn(name, whole)
     cold_rows = hot.cold(df).withColumn(name, whole)
@@ -168,7 +188,7 @@ def rank_in(
     )
     local = F.rank().over(Window.partitionBy(*group, "_slice").orderBy(order))
     ranked = sliced.withColumn("_local", local).join(
-        F.broadcast(offsets), _same(sliced, group, "_o_") & (F.col("_slice") == F.col("_o_slice")), "left"
+        F.broadcast(offsets), _same(group, "_o_") & (F.col("_slice") == F.col("_o_slice")), "left"
     )
     hot_rows = ranked.withColumn(name, (F.col("_before") + F.col("_local")).cast("int"))
     names = [*df.columns, name]

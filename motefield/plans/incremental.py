@@ -6,10 +6,9 @@ they changed; facts are recomputed for every day that has such a row, by replaci
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import enrich, marts, validation
@@ -46,7 +45,7 @@ class IncrementalLayers:
             wanted = wanted | F.col(by).isNull()
         return self.read(name).filter(wanted)
 
-    def apply(self, batch: DataFrame, batch_id: int, as_of: Column | dt.datetime | str) -> None:
+    def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Bring all tables up to date with a batch. Repeating a batch id changes nothing."""
         staged = batch.select(*columns(STAGED))
         staged.withColumns({"batch_id": F.lit(batch_id), LOAD_DAY: F.to_date("loaded_at")}) \
@@ -64,7 +63,9 @@ class IncrementalLayers:
         scored = rescore(history, fresh.select(*columns(STAGED)).withColumn("batch_id", F.lit(batch_id)))
         flagged = validation.flag_ranges(scored, self.thresholds).withColumn("is_anomaly", flag_anomaly())
         flagged = flagged.withColumns({
-            "validation_error_count": validation.error_count(), DAY: F.to_date("reading_ts"),
+            "validation_error_count": validation.error_count(),
+            DAY: F.to_date("reading_ts"),
+            LOAD_DAY: F.to_date("loaded_at"),
         })
         changed = self._at(f"changed/batch={batch_id:09d}")  # cuts the lineage before it is read several times
         flagged.write.mode("overwrite").parquet(changed)
@@ -75,9 +76,9 @@ class IncrementalLayers:
             if old is not None:
                 kept = self._days("validated", days).join(changed_rows.select("reading_id"), "reading_id", "left_anti")
                 merged = changed_rows.unionByName(kept.select(*changed_rows.columns))
-            overwrite_partitions(merged, self._at("validated"), DAY)
+            overwrite_partitions(merged, self._at("validated"), DAY, LOAD_DAY)
             self._facts(days)
-        self._quality(changed_rows, staged, as_of)
+        self._count_files(changed_rows, staged)
 
     def _facts(self, days: list) -> None:
         validated = self._days("validated", days)
@@ -87,24 +88,37 @@ class IncrementalLayers:
             "health": (marts.device_health(enriched), F.col("report_date")),
             "anomalies": (marts.anomalies(validated, self.thresholds), F.to_date("detected_at")),
         }
+        filled = {
+            "hourly": F.col("validation_error_count") == 0,
+            "health": F.col("validation_error_count") == 0,
+            "anomalies": F.col("validation_error_count") > 0,
+        }
         for name, (df, day) in facts.items():
+            old = self.read(name)
             overwrite_partitions(df.withColumn(DAY, day), self._at(name), DAY)
-
-    def _quality(self, changed: DataFrame, staged: DataFrame, as_of) -> None:
-        """Scorecards of the load days whose files have new or changed rows."""
-        loads = staged.select(F.to_date("loaded_at").alias(LOAD_DAY)).union(
-            changed.select(F.to_date("loaded_at").alias(LOAD_DAY))
-        )
+            if old is not None:
+                present = touched_partitions(validated.filter(filled[name]), DAY)
+                self._empty(name, old, [d for d in days if d not in present])
+
+    def _empty(self, name: str, old: DataFrame, days: list) -> None:
+        """Days whose last row of a fact went away, for instance because it became an anomaly."""
+        for day in days:
+            folder = f"{DAY}=" + ("__HIVE_DEFAULT_PARTITION__" if day is None else str(day))
+            old.drop(DAY).filter(F.lit(False)).write.mode("overwrite").parquet(f"{self._at(name)}/{folder}")
+
+    def _count_files(self, changed: DataFrame, staged: DataFrame) -> None:
+        """Counters of the load days with new or changed rows, from the partitions of those days."""
+        loads = staged.select(F.to_date("loaded_at").alias(LOAD_DAY)).union(changed.select(LOAD_DAY))
         days = touched_partitions(loads, LOAD_DAY)
-        if not days:
-            return
-        all_staged = self._days("staged", days, LOAD_DAY)
-        validated = self.read("validated").filter(F.to_date("loaded_at").isin(days))
-        quality = marts.data_quality(
-            all_staged, validated, validation.quarantine(validated, as_of), validation.late_arrivals(validated)
-        )
-        # a file belongs to the load day of its latest row
-        overwrite_partitions(quality.withColumn(LOAD_DAY, F.to_date("batch_ts")), self._at("quality"), LOAD_DAY)
+        if days:
+            counters = marts.quality_counters(
+                self._days("staged", days, LOAD_DAY), self._days("validated", days, LOAD_DAY)
+            )
+            overwrite_partitions(counters, self._at("file_counters"), LOAD_DAY)
+
+    def quality(self) -> DataFrame:
+        """Scorecard per file; the counters have one row per file and load day."""
+        return marts.scorecard(self.read("file_counters"))
 
     def overview(self) -> DataFrame:
-        return marts.fleet_overview(self.read("health"), self.read("quality"), self.read("anomalies"))
+        return marts.fleet_overview(self.read("health"), self.quality(), self.read("anomalies"))

@@ -32,6 +32,18 @@ class Layers:
         """The time of the run; by default the latest load."""
         return self.staged.agg(F.max("loaded_at")).scalar() if self.now is None else as_ts(self.now)
 
+    def settle(self, path: str, *names: str) -> Layers:
+        """Write datasets below ``path`` and go on from the written tables.
+
+        For plans that use a dataset several times: it is computed once, and a lost executor does not
+        reach back behind the table.
+        """
+        for name in names:
+            target = f"{path.rstrip('/')}/{name}"
+            getattr(self, name).write.mode("overwrite").parquet(target)
+            self.__dict__[name] = self.staged.sparkSession.read.parquet(target)
+        return self
+
     @cached_property
     def metadata(self) -> DataFrame:
         return staging.stage_device_metadata(self.staged)
@@ -71,7 +83,7 @@ class Layers:
 
     @cached_property
     def quality(self) -> DataFrame:
-        return marts.data_quality(self.staged, self.deduped, self.quarantined, self.late)
+        return marts.data_quality_of(self.staged, self.validated)
 
     @cached_property
     def overview(self) -> DataFrame:

@@ -48,6 +48,12 @@ class Data:
     def layers(self) -> Layers:
         return Layers(self.staged, self.registry, self.thresholds, self.clusters)
 
+    @cached_property
+    def settled(self) -> Layers:
+        """The layers over a written validated table, for queries that use it several times."""
+        layers = Layers(self.staged, self.registry, self.thresholds, self.clusters)
+        return layers.settle(self.scratch("layers"), "validated")
+
     @cached_property
     def as_of(self) -> Column:
         return self.layers.as_of

@@ -135,7 +135,7 @@ def source_freshness(d):
               'warn'
     UNION ALL SELECT 'score in range', 'error', 0, 'pass'""")
 def run_checks(d):
-    x = d.layers
+    x = d.settled
     return quality.run_checks([
         quality.Check("staged.reading_id unique", quality.unique(d.staged, "reading_id")),
         quality.Check("deduped.reading_id unique", quality.unique(x.deduped, "reading_id")),

@@ -42,7 +42,7 @@ def quality_counts(d):
 
 @query("d5_overview_join", "SELECT report_date, total_readings, total_quarantined, total_anomalies FROM overview")
 def overview_join(d):
-    return d.layers.overview.select("report_date", "total_readings", "total_quarantined", "total_anomalies")
+    return d.settled.overview.select("report_date", "total_readings", "total_quarantined", "total_anomalies")
 
 
 DEVICE_NORMALIZED = f"""
@@ -172,6 +172,13 @@ def data_quality(d):
     return d.layers.quality
 
 
+@query("e4_data_quality_from_tables", "SELECT * FROM quality", doubles="null_pct duplicate_pct quality_score")
+def data_quality_from_tables(d):
+    """From the four datasets, as a user with existing tables has them."""
+    x = d.settled
+    return marts.data_quality(d.staged, x.deduped, x.quarantined, x.late)
+
+
 NULLABLE = ("temperature", "humidity", "pressure", "battery_pct", "co2_level")
 
 
@@ -184,7 +191,7 @@ def null_counts(d):
 @query("e6_fleet_overview", "SELECT * FROM overview",
        doubles="avg_quality_score fleet_uptime_pct fleet_avg_battery")
 def fleet_overview(d):
-    return d.layers.overview
+    return d.settled.overview
 
 
 @query("e7_distinct_keys", "SELECT DISTINCT device_id, firmware_version, error_profile FROM staged")
@@ -211,7 +218,7 @@ def raw_status(d):
     UNION ALL SELECT 'fct_data_quality', count(*) FROM quality
     UNION ALL SELECT 'dim_devices', count(*) FROM devices""")
 def model_counts(d):
-    x = d.layers
+    x = d.settled
     return marts.model_counts({
         "stg_sensor_readings": d.staged, "int_readings_deduped": x.deduped, "int_quarantined_readings": x.quarantined,
         "int_late_arriving_readings": x.late, "fct_hourly_readings": x.hourly, "fct_device_health": x.health,

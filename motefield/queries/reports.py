@@ -49,7 +49,7 @@ def load_health_alarm(d):
          (SELECT count(*) AS a FROM anomalies WHERE detected_at >= {AS_OF} - INTERVAL 1 HOUR)""",
        doubles="avg_quality_score", longs="minutes_since_load")
 def monitoring_report(d):
-    return reports.monitoring_report(d.staged, d.layers.quality, d.layers.anomalies, d.as_of)
+    return reports.monitoring_report(d.staged, d.settled.quality, d.settled.anomalies, d.as_of)
 
 
 @query("l4_alerts", f"""
@@ -69,7 +69,7 @@ def monitoring_report(d):
         ELSE CASE WHEN value > 25 THEN 'critical' WHEN value > 10 THEN 'warn' ELSE 'ok' END END AS level
     FROM m""", doubles="value")
 def alerts(d):
-    x = d.layers
+    x = d.settled
     metrics = reports.fleet_metrics(d.staged, x.quality, x.anomalies, x.health, x.dim_devices, d.as_of)
     return reports.alerts(metrics).drop("message")
 
@@ -112,14 +112,14 @@ def hourly_volume(d):
 @query("l10_latest_kpis", "SELECT * FROM overview ORDER BY report_date DESC LIMIT 1",
        doubles="avg_quality_score fleet_uptime_pct fleet_avg_battery")
 def latest_kpis(d):
-    return reports.latest_kpis(d.layers.overview)
+    return reports.latest_kpis(d.settled.overview)
 
 
 @query("l10_kpi_trend", """
     SELECT report_date, active_devices, total_readings, avg_quality_score, critical_alerts, warning_alerts,
            fleet_uptime_pct, total_anomalies FROM overview""", doubles="avg_quality_score fleet_uptime_pct")
 def kpi_trend(d):
-    return reports.kpi_trend(d.layers.overview)
+    return reports.kpi_trend(d.settled.overview)
 
 
 @query("l11_quarantine_rate", f"""

@@ -100,7 +100,7 @@ def incremental_layers(d):
     state = IncrementalLayers(d.spark, d.scratch("layers"), d.registry, d.thresholds)
     stream = as_stream(d, d.staged, "staged", ["2024-01-12", "2024-01-22"])
     stream.writeStream.option("checkpointLocation", d.scratch("checkpoint")).trigger(availableNow=True).foreachBatch(
-        lambda batch, batch_id: state.apply(batch, batch_id, "2024-02-01 00:00:00")).start().awaitTermination()
+        lambda batch, batch_id: state.apply(batch, batch_id)).start().awaitTermination()
     return state.overview()
 
 

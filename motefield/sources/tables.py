@@ -56,14 +56,14 @@ def read_as_of(spark: SparkSession, path: str, ts: dt.datetime | None = None) ->
     return spark.read.parquet(newest["location"])
 
 
-def overwrite_partitions(df: DataFrame, path: str, by: str) -> None:
+def overwrite_partitions(df: DataFrame, path: str, *by: str) -> None:
     """Replace exactly the partitions that occur in ``df``.
 
     Files are staged and moved in when the job commits, so ``df`` may read from ``path`` itself, and a
     repeated run gives the same table.
     """
-    df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(by).parquet(path)
+    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(*by).parquet(path)
 
 
 def touched_partitions(df: DataFrame, by: str) -> list:

@@ -46,7 +46,11 @@ def late_stream(staged: DataFrame, minutes: int = 60) -> DataFrame:
 
 
 def hourly_stream(enriched: DataFrame, delay: str = "26 hours") -> DataFrame:
-    """Tumbling hourly facts per device; use update mode and upsert by key."""
+    """Tumbling hourly facts per device; use update mode and upsert by key.
+
+    ``delay`` must cover the longest way of a reading, because Spark leaves out what comes later; data without
+    such a bound belongs into :class:`~motefield.plans.incremental.IncrementalLayers`, which recomputes any day.
+    """
     event_time = enriched.withColumn("_event_time", F.col("reading_ts").cast("timestamp"))
     facts = (
         event_time.withWatermark("_event_time", delay)
