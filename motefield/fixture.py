@@ -70,14 +70,19 @@ def _file_of(loaded: Column) -> Column:
 
 def staged(source: DataFrame, copies: bool = True) -> DataFrame:
     """The 16 staging columns; with ``copies`` every twentieth reading arrives a second time one hour later."""
-    e, k = F.col("event_id"), F.get_json_object("props", "$.k").cast("int")
-    dev = F.col("user_id") % 50 + 1
+    e, k, dev = F.col("event_id"), F.col("k"), F.col("dev")
+    # own projection: the JSON text is parsed once, not once per use
+    source = source.withColumns({
+        "k": F.get_json_object("props", "$.k").cast("int"),
+        "dev": F.col("user_id") % 50 + 1,
+        "first_hour": shift(trunc("hour", "ts"), "hour", 1),
+    })
 
     def every(n: int) -> Column:
         return e % n == 0
 
     null = F.lit(None)
-    loaded = shift(trunc("hour", "ts"), "hour", 1)
+    loaded = F.col("first_hour")
     twice = F.explode(F.when(every(20), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     rows = source.select(
         F.concat(F.lit("R"), e.cast("string")).alias("reading_id"),

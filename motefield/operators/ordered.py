@@ -7,8 +7,7 @@ few rows at slice borders, whose frame reaches back into earlier slices, are com
 rows alone. The result is the same as the plain window for every input; slicing only decides who does the work.
 
 Whether there are hot keys is found by a small job when the plan is built, as range partitioning does for
-its bounds: a scan of the key and order columns with map-side counting. Without hot keys the plan is the plain
-window. Hot keys are cut evenly between their smallest and largest order value; a slice that is still too full,
+its bounds: a scan of the key column with map-side counting. Without hot keys the plan is the plain window. Hot keys are cut evenly between their smallest and largest order value; a slice that is still too full,
 as after a burst, is cut again the same way, by the next order column if all its rows share the first one.
 
 All that is collected and broadcast is bounded by construction: a key is hot only if it owns more than
@@ -53,7 +52,14 @@ class HotKeys:
         total = profile.select(F.count(F.lit(1))).scalar()
         self.share = F.greatest(F.lit(rows_per_slice).cast("double"), total / F.lit(MAX_HOT_KEYS))
         self.levels: list[DataFrame] = []
-        rows = self._start(profile.select(*self.keys, *self._axis_columns()))
+        counted = profile.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > self.share)
+        heavy = counted.select(*_prefixed(self.keys, "_h_"))
+        names = heavy.collect()  # at most MAX_HOT_KEYS rows
+        if not names:
+            return
+        listed = F.broadcast(profile.sparkSession.createDataFrame(names, heavy.schema))
+        heavy_rows = profile.join(listed, _same(self.keys, "_h_"), "left_semi")
+        rows = self._start(heavy_rows.select(*self.keys, *self._axis_columns()))
         for level in range(MAX_LEVELS):
             cells = self._full_cells(rows, 2 if level else 1)
             found = cells.collect()  # at most MAX_HOT_KEYS rows

@@ -35,7 +35,7 @@ def disordered(staged):
     yield staged.filter(~odd)
 
 
-@pytest.mark.parametrize("batches", [1, 2, 5, "disordered"])
+@pytest.mark.parametrize("batches", [3, "disordered"])
 def test_batches_equal_the_full_run(data, batches):
     state = IncrementalLayers(data.spark, data.scratch("state"), data.registry, data.thresholds)
     parts = disordered(data.staged) if batches == "disordered" else slices(data.staged, batches)

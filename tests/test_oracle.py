@@ -16,6 +16,8 @@ def duck():
 def test_query_matches_sql(spark, duck, name):
     query = REGISTRY[name]
     result = query.frame(spark, SMALL)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if query.sql is None:
         assert result.columns
     else:
