@@ -35,15 +35,21 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.filter(F.col(key).isNotNull()).join(parent.select(key).distinct(), key, "left_anti")
 
 
+def without(df: DataFrame, others: DataFrame, key: str) -> DataFrame:
+    """Rows whose key does not occur in ``others``; NULL is a key like any other."""
+    keys = others.select(F.col(key).alias("_other"))
+    return df.join(keys, F.col(key).eqNullSafe(F.col("_other")), "left_anti")
+
+
 def insert_new(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Source rows whose key the target does not have yet.
 
     The target is read for its key column only and reduced to keys of this batch first: with a small batch
     that is a map-only pass over the target (broadcast semi join), so a big target is never shuffled.
     """
-    batch_keys = source.select(key).distinct()
-    present = target.select(key).join(batch_keys, key, "left_semi").distinct()
-    return source.join(present, key, "left_anti")
+    batch_keys = source.select(F.col(key).alias("_batch")).distinct()
+    known = target.select(key).join(batch_keys, F.col(key).eqNullSafe(F.col("_batch")), "left_semi").distinct()
+    return without(source, known, key)
 
 
 def join_as_of_version(

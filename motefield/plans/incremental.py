@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import enrich, marts, validation
 from ..operators.dedup import dedup
 from ..operators.ordered import flag_anomaly
-from ..sources.tables import overwrite_partitions, read_or_none, touched_partitions
+from ..sources.tables import overwrite_partitions, read_or_none, rows_of, touched_partitions
 from ..schemas import STAGED, columns
 from ..streaming.rolling import rescore
 
@@ -38,12 +38,8 @@ class IncrementalLayers:
         return read_or_none(self.spark, self._at(name))
 
     def _days(self, name: str, days: list, by: str = DAY) -> DataFrame:
-        """Rows of the given partitions; NULL days (readings without a time) are their own partition."""
-        known = [d for d in days if d is not None]
-        wanted = F.col(by).isin(known) if known else F.lit(False)
-        if None in days:
-            wanted = wanted | F.col(by).isNull()
-        return self.read(name).filter(wanted)
+        """Rows of the given days; readings without a time have a day of their own."""
+        return rows_of(self.read(name), by, days)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Bring all tables up to date with a batch. Repeating a batch id changes nothing."""
@@ -74,7 +70,7 @@ class IncrementalLayers:
         if days:
             merged = changed_rows
             if old is not None:
-                kept = self._days("validated", days).join(changed_rows.select("reading_id"), "reading_id", "left_anti")
+                kept = enrich.without(self._days("validated", days), changed_rows, "reading_id")
                 merged = changed_rows.unionByName(kept.select(*changed_rows.columns))
             overwrite_partitions(merged, self._at("validated"), DAY, LOAD_DAY)
             self._facts(days)

@@ -71,6 +71,13 @@ def touched_partitions(df: DataFrame, by: str) -> list:
     return [row[0] for row in df.select(by).distinct().collect()]
 
 
+def rows_of(table: DataFrame, by: str, values: list) -> DataFrame:
+    """The given partitions, NULL included."""
+    known = [v for v in values if v is not None]
+    wanted = F.col(by).isin(known) if known else F.lit(False)
+    return table.filter(wanted | F.col(by).isNull() if None in values else wanted)
+
+
 def upsert_partitions(new: DataFrame, path: str, key: str | Sequence[str], by: str) -> None:
     """Upsert into a table partitioned by ``by``, which must be a function of the key.
 
@@ -81,7 +88,7 @@ def upsert_partitions(new: DataFrame, path: str, key: str | Sequence[str], by: s
     if target is None:
         overwrite_partitions(new, path, by)
         return
-    old = target.filter(F.col(by).isin(touched_partitions(new, by)))
+    old = rows_of(target, by, touched_partitions(new, by))
     overwrite_partitions(merge_upsert(old, new, key), path, by)
 
 

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.enrich import without
 from ..operators.ordered import rolling_zscore
-from ..sources.tables import overwrite_partitions, read_or_none, touched_partitions
-from ..operators.history import merge_upsert
+from ..sources.tables import overwrite_partitions, read_or_none, rows_of, touched_partitions
 
 Z = "temperature_zscore"
 
@@ -24,18 +24,20 @@ def _newest(rows: DataFrame, n: int) -> DataFrame:
     return rows.withColumn("_row", F.row_number().over(order)).filter(F.col("_row") <= n).drop("_row")
 
 
-def rescore(history: DataFrame | None, new: DataFrame, n: int = 12, **split) -> DataFrame:
+def rescore(history: DataFrame | None, new: DataFrame, n: int = 12, parity: bool = False, **split) -> DataFrame:
     """New rows and the stored rows after the first new one of their device, scored as in a full run.
 
-    ``history`` and ``new`` have the same columns, without the score, and no common ids.
+    ``history`` and ``new`` have the same columns, without the score, and no common ids. Readings without a time
+    come last. ``parity`` scores every batch by itself, with frames that start anew.
     """
     columns = new.columns
-    if history is None:
+    if history is None or parity:
         return rolling_zscore(new, n=n, **split)
-    first = new.groupBy("device_id").agg(F.min("reading_ts").alias("_from"))
-    touched = history.join(first, "device_id")
-    after = touched.filter(F.col("reading_ts").isNull() | (F.col("reading_ts") >= F.col("_from"))).select(*columns)
-    before = _newest(touched.filter(F.col("reading_ts") < F.col("_from")).select(*columns), n)
+    first = new.groupBy(F.col("device_id").alias("_device")).agg(F.min("reading_ts").alias("_from"))
+    touched = history.join(first, F.col("device_id").eqNullSafe(F.col("_device")))
+    ts, start = F.col("reading_ts"), F.col("_from")
+    after = touched.filter(ts.isNull() | (ts >= start)).select(*columns)
+    before = _newest(touched.filter(ts.isNotNull() & (start.isNull() | (ts < start))).select(*columns), n)
     marked = (
         before.withColumn("_keep", F.lit(False))
         .unionByName(after.withColumn("_keep", F.lit(True)))
@@ -57,16 +59,16 @@ def score_stream(readings: DataFrame, dst: str, checkpoint: str, n: int = 12, **
         columns = batch.columns
         history = read_or_none(spark, scored)
         if history is not None:  # a repeated batch must not meet its own rows
-            history = history.select(*columns).join(batch.select("reading_id"), "reading_id", "left_anti")
-            history = history.select(*columns)
+            history = without(history.select(*columns), batch, "reading_id")
         tail = read_or_none(spark, f"{context}/batch={batch_id - 1:09d}") if batch_id else None
         if tail is None:
             out = rescore(history, batch, n)
         else:
-            newest = tail.groupBy("device_id").agg(F.max("reading_ts").alias("_last"))
-            late = batch.join(newest, "device_id").filter(
-                F.col("reading_ts").isNull() | (F.col("reading_ts") <= F.col("_last"))
-            )
+            ts = F.col("reading_ts")
+            newest = tail.groupBy(F.col("device_id").alias("_device")).agg(
+                F.max(ts).alias("_last"), F.max(ts.isNull()).alias("_open"))
+            late = batch.join(newest, F.col("device_id").eqNullSafe(F.col("_device"))).filter(
+                ts.isNull() | F.col("_open") | (ts <= F.col("_last")))
             out = rescore(history if not late.isEmpty() else tail.select(*columns), batch, n)
         seen = batch if tail is None else tail.select(*columns).unionByName(batch)
         if tail is None and history is not None:
@@ -76,8 +78,8 @@ def score_stream(readings: DataFrame, dst: str, checkpoint: str, n: int = 12, **
         by_day = out.withColumn("reading_day", F.to_date("reading_ts"))
         table = read_or_none(spark, scored)
         if table is not None:
-            old = table.filter(F.col("reading_day").isin(touched_partitions(by_day, "reading_day")))
-            by_day = merge_upsert(old, by_day, "reading_id")
+            old = rows_of(table, "reading_day", touched_partitions(by_day, "reading_day"))
+            by_day = by_day.unionByName(without(old, by_day, "reading_id").select(*by_day.columns))
         overwrite_partitions(by_day, scored, "reading_day")
 
     return readings.writeStream.option("checkpointLocation", checkpoint).foreachBatch(land) \
