@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixture
+from ..functions.numbers import round_to
 from ..plans.layers import Layers
 from ..session import shared_dir, use_utc
-from .oracle import r6, with_ctes
+from .oracle import rd, with_ctes
 
 
 class Data:
@@ -80,16 +81,19 @@ class Query:
     longs: tuple[str, ...]
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        """The result with doubles at six decimals and counters as bigint, as the SQL text has them."""
+        """The result with doubles at six decimals and counters as bigint, as the SQL text has them.
+
+        Both engines round half up on a decimal; a direct cast of a double rounds ties differently in each.
+        """
         df = self.run(Data(spark, sf_dir))
-        shown = {c: F.col(c).cast("decimal(28,6)").cast("double") for c in self.doubles}
+        shown = {c: round_to(F.col(c), 6) for c in self.doubles}
         shown |= {c: F.col(c).cast("long") for c in self.longs}
         return df.withColumns(shown) if shown else df
 
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
-        shown = [f"{r6(c)} AS {c}" for c in self.doubles] + [f"CAST({c} AS BIGINT) AS {c}" for c in self.longs]
+        shown = [f"{rd(c, 6)} AS {c}" for c in self.doubles] + [f"CAST({c} AS BIGINT) AS {c}" for c in self.longs]
         if not shown:
             return with_ctes(self.sql)
         return with_ctes(f"SELECT * REPLACE ({', '.join(shown)}) FROM ({self.sql}) AS result")

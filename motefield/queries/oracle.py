@@ -9,10 +9,6 @@ from ..functions.keys import NULL_TOKEN
 from ..schemas import CLUSTER_METADATA, SENSOR_THRESHOLDS, columns
 
 
-def r6(x: str) -> str:
-    return f"CAST(CAST({x} AS DECIMAL(28,6)) AS DOUBLE)"
-
-
 def rd(x: str, digits: int) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(28,10)), {digits}) AS DOUBLE)"
 
