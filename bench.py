@@ -21,7 +21,7 @@ from motefield.queries.streams import as_stream  # noqa: E402
 from motefield.session import build_session  # noqa: E402
 from motefield.streaming import ingest, layers  # noqa: E402
 
-HEADLINE = ["d1_enrich", "f1_dedup", "f4_rolling_zscore", "f4_rolling_zscore_sliced", "e1_hourly_readings",
+HEADLINE = ["d1_enrich", "f1_dedup", "f4_rolling_zscore", "e1_hourly_readings",
             "e2_device_health", "e4_data_quality", "e6_fleet_overview", "h4_anomalies", "j1_merge_upsert", "j12_obt"]
 
 
