@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,7 +87,7 @@ class WordEncoder:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         for part in _portions(texts):
             plain = ["" if self.ODD.search(t) else t for t in part]
-            lists = pa.compute.utf8_split_whitespace(pa.array(plain, pa.large_string()))
+            lists = pc.utf8_split_whitespace(pa.array(plain, pa.large_string()))
             words = lists.flatten().dictionary_encode()
             ids = self._encode_words(words.dictionary.to_pylist())
             lengths = np.array([len(i) // 4 for i in ids], dtype=np.int64)
