@@ -105,14 +105,15 @@ def search(vectors: DataFrame, top: int = TOP, query_step: int = QUERY_STEP, id_
 
     Vectors and queries of one length meet; other lengths form sets of their own. Candidates lie in blocks of about
     ``block_rows``, each held by one task, and queries stream through them. Vectors that are null, empty, zero or hold
-    null or non-finite components, and null ids, take no part. A repeated id is one more candidate, and as a query answers once per row.
-    No rows give no rows.
+    null or non-finite components, and null ids, take no part. A row that repeats an id is one more candidate; as a query an id asks
+    once, with its smallest vector, and never finds its own id. No rows give no rows.
     """
     base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vector"))
     base = base.where(F.col("vec_id").isNotNull() & usable()).withColumn("dims", F.size("vector"))
     blocks = max(1, math.ceil(base.count() / block_rows))
     held = base.select("dims", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "vec_id", "vector")
-    asked = base.where(F.col("vec_id") % query_step == 0).select(
+    queries = base.where(F.col("vec_id") % query_step == 0).groupBy("vec_id").agg(F.min(F.struct("dims", "vector")).alias("least"))
+    asked = queries.select("vec_id", "least.*").select(
         "dims", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"), "vec_id", "vector")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +138,6 @@ def search(vectors: DataFrame, top: int = TOP, query_step: int = QUERY_STEP, id_
                 for a in range(0, high - low if block else 0, QUERY_ROWS):
                     asked_ids = vec_ids[low + a:min(low + a + QUERY_ROWS, high)]
                     found, scores = block.search(asked_ids, rows[a:a + QUERY_ROWS])
-                    # a row of the task's input, numbered within it, tells repeated query ids apart
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.repeat(asked_ids, [len(f) for f in found])), pa.array(np.concatenate(found)), pa.array(np.concatenate(scores)),
                     ], ["query_id", "vec_id", "score"])
