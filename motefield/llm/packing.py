@@ -27,8 +27,9 @@ from .workspace import Workspace
 
 WINDOW = 4096
 END_ID = 2
-CACHE_WORDS = 800_000
-BATCH_CHARS = 8_000_000
+CACHE_WORDS = 250_000
+BATCH_CHARS = 2_000_000
+BATCH_ROWS = 500
 PIECES = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, task int, slot long"
 
 
@@ -146,7 +147,7 @@ def cut_pieces(docs: DataFrame, definition: str, window: int = WINDOW, id_col: s
         from pyspark import TaskContext
 
         task, slots = TaskContext.get().partitionId(), np.zeros(window + 1, dtype=np.int64)
-        for batch in batches:
+        for batch in (whole.slice(at, BATCH_ROWS) for whole in batches for at in range(0, whole.num_rows, BATCH_ROWS)):
             rows: list[tuple] = []
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(definition).encode(texts), strict=True):
