@@ -17,7 +17,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 TOP = 20
-BLOCK_ROWS = 1 << 16
+BLOCK_VALUES = 1 << 24
+LEAST_ROWS = 4096
 CHUNK = 2048
 QUERY_ROWS = 256
 CONFIDENCE = 3.0
@@ -100,17 +101,20 @@ def usable(vec: str = "vector"):
 
 
 def search(vectors: DataFrame, top: int = TOP, query_step: int = QUERY_STEP, id_col: str = "vec_id", vec_col: str = "embedding",
-           block_rows: int = BLOCK_ROWS) -> DataFrame:
+           block_rows: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each id divisible by ``query_step`` its ``top`` candidates by inner product.
 
     Vectors and queries of one length meet; other lengths form sets of their own. Candidates lie in blocks of about
-    ``block_rows``, each held by one task, and queries stream through them. Vectors that are null, empty, zero or hold
+    ``block_rows``, each held by one task, and queries stream through them. By default blocks grow with the square root of the
+    table, so that blocks and copies of the queries grow alike, up to ``BLOCK_VALUES`` numbers. Vectors that are null, empty, zero or hold
     null or non-finite components, and null ids, take no part. A row that repeats an id is one more candidate; as a query an id asks
     once, with its smallest vector, and never finds its own id. No rows give no rows.
     """
     base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vector"))
     base = base.where(F.col("vec_id").isNotNull() & usable()).withColumn("dims", F.size("vector"))
-    blocks = max(1, math.ceil(base.count() / block_rows))
+    rows, widest = base.agg(F.count(F.lit(1)), F.coalesce(F.max("dims"), F.lit(1))).first()
+    wanted = block_rows or max(1, min(BLOCK_VALUES // widest, max(LEAST_ROWS, 40 * math.isqrt(rows))))
+    blocks = max(1, math.ceil(rows / wanted))
     held = base.select("dims", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "vec_id", "vector")
     queries = base.where(F.col("vec_id") % query_step == 0).groupBy("vec_id").agg(F.min(F.struct("dims", "vector")).alias("least"))
     asked = queries.select("vec_id", "least.*").select(
