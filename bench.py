@@ -21,7 +21,7 @@ from motefield.queries.streams import as_stream  # noqa: E402
 from motefield.session import build_session  # noqa: E402
 from motefield.streaming import ingest, layers  # noqa: E402
 
-HEADLINE = ["d1_enrich", "f1_dedup", "f4_rolling_zscore", "e1_hourly_readings",
+HEADLINE = ["d1_enrich", "f1_dedup", "f4_rolling_zscore", "f4_rolling_zscore_sliced", "f8_rank_in", "e1_hourly_readings",
             "e2_device_health", "e4_data_quality", "e6_fleet_overview", "h4_anomalies", "j1_merge_upsert", "j12_obt"]
 
 
@@ -55,7 +55,7 @@ def ingest_rates(spark, sf_dir: str) -> dict[str, float]:
     rates["m4_late"] = run(layers.late_stream(staged))
     enriched = as_stream(d, d.layers.enriched, "enriched")
     rates["m5_hourly"] = rows / seconds(lambda: layers.write_hourly(
-        layers.hourly_stream(enriched), d.scratch("hourly"), d.scratch("checkpoint")).awaitTermination())
+        enriched, d.scratch("readings"), d.scratch("hourly"), d.scratch("checkpoint")).awaitTermination())
     return {name: round(rate) for name, rate in rates.items()}
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def round_to(value: Column, digits: int) -> Column:
-    """Half-up rounding on the decimal form (1.005 -> 1.01), returned as a double."""
-    return F.round(value.cast("decimal(28,10)"), digits).cast("double")
+    """Half-up rounding on the decimal form (1.005 -> 1.01), returned as a double; NULL beyond 18 digits."""
+    return F.round(value.try_cast("decimal(28,10)"), digits).cast("double")
 
 
 def ratio(part: Column, whole: Column) -> Column:

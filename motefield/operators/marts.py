@@ -55,12 +55,13 @@ def abs_zscore_over(k: float) -> Column:
 
 
 def device_health(enriched: DataFrame, expected: int = EXPECTED_PER_DAY) -> DataFrame:
-    """Per device and day: battery, uptime, alerts, status."""
+    """Per device and day: battery, uptime, alerts, status. Of readings at one time the id decides which is first and last."""
+    moment = F.struct("reading_ts", "reading_id")
     daily = enriched.groupBy("device_id", F.to_date("reading_ts").alias("report_date")).agg(
         F.avg("battery_pct").alias("avg_battery_pct"),
         F.min("battery_pct").alias("min_battery_pct"),
         F.max("battery_pct").alias("max_battery_pct"),
-        (F.max_by("battery_pct", "reading_ts") - F.min_by("battery_pct", "reading_ts")).alias("_drained"),
+        (F.max_by("battery_pct", moment) - F.min_by("battery_pct", moment)).alias("_drained"),
         boundary_diff("hour", F.min("reading_ts"), F.max("reading_ts")).alias("_hours"),
         F.count(F.lit(1)).alias("readings_received"),
         count_if(F.col("battery_pct") < 15).alias("_low_battery"),

@@ -168,37 +168,23 @@ def rolling(
     return cold_rows.select(names).union(inner.select(names)).union(border.select(names))
 
 
-def rank_in(
-    df: DataFrame,
-    group: Sequence[str],
-    metric: str,
-    name: str = "rank",
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
-    """``rank()`` of ``metric`` within a group, highest first, NULL on top."""
+def rank_in(df: DataFrame, group: Sequence[str], metric: str, name: str = "rank") -> DataFrame:
+    """``rank()`` of ``metric`` within a group, highest first, NULL on top.
+
+    Rows are counted per value first, so ties cost nothing. The values are dealt by ranges of group and metric; a value's rank is
+    one more than the rows above it in its range and those of the group's ranges before. No task holds a group.
+    """
     order = F.col(metric).desc_nulls_first()
-    whole = F.rank().over(Window.partitionBy(*group).orderBy(order))
-    axes = [F.col(metric).isNull().cast("int"), F.coalesce(F.col(metric), F.lit(0))]
-    hot = HotKeys(df, group, axes, rows_per_slice)
-    if not hot.exist:
-        return df.withColumn(name, whole)
-    cold_rows = hot.cold(df).withColumn(name, whole)
-
-    sliced = hot.sliced(df)
-    above = Window.partitionBy(*group).orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(*group, "_slice")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*_prefixed(group, "_o_"), F.col("_slice").alias("_o_slice"),
-                F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_before"))
-    )
-    local = F.rank().over(Window.partitionBy(*group, "_slice").orderBy(order))
-    ranked = sliced.withColumn("_local", local).join(
-        F.broadcast(offsets), _same(group, "_o_") & (F.col("_slice") == F.col("_o_slice")), "left"
-    )
-    hot_rows = ranked.withColumn(name, (F.col("_before") + F.col("_local")).cast("int"))
-    names = [*df.columns, name]
-    return cold_rows.select(names).union(hot_rows.select(names))
+    counts = df.groupBy(*group, metric).agg(F.count(F.lit(1)).alias("_n"))
+    parts = counts.repartitionByRange(*group, order).withColumn("_part", F.spark_partition_id())
+    above = Window.partitionBy(*group, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = parts.groupBy(*group, "_part").agg(F.sum("_n").alias("_whole"))
+    offsets = whole.select(*_prefixed(group, "_o_"), F.col("_part").alias("_o_part"), F.coalesce(F.sum("_whole").over(earlier), F.lit(0)).alias("_before"))
+    local = parts.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
+    ranks = local.join(offsets, _same(group, "_o_") & (F.col("_part") == F.col("_o_part"))).select(
+        *_prefixed([*group, metric], "_r_"), (F.col("_above") + F.col("_before") + 1).cast("int").alias(name))
+    return df.join(ranks, _same([*group, metric], "_r_")).select(*df.columns, name)
 
 
 def rolling_zscore(

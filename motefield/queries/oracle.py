@@ -106,8 +106,7 @@ CTES = {
                v.co2_level, v.latitude, v.longitude, v.firmware_version, v.error_profile, v.temperature_zscore,
                v.loaded_at, v.source_file, r.device_type, r.cluster_id, r.device_name,
                hour(v.reading_ts) AS hour_of_day, strftime(v.reading_ts, '%a') AS day_of_week,
-               isodow(v.reading_ts) >= 6 AS is_weekend, hour(v.reading_ts) IN (8,9,10,11,12,13,14,15,16,17)
-               AS is_business_hours
+               isodow(v.reading_ts) >= 6 AS is_weekend, hour(v.reading_ts) BETWEEN 8 AND 17 AS is_business_hours
         FROM validated v LEFT JOIN registry r USING (device_id)
         WHERE v.validation_error_count = 0""",
     "quarantined": """
@@ -134,7 +133,7 @@ CTES = {
     "daily": f"""
         SELECT device_id, CAST(reading_ts AS DATE) AS report_date, avg(battery_pct) AS avg_battery_pct,
                min(battery_pct) AS min_battery_pct, max(battery_pct) AS max_battery_pct,
-               (arg_max(battery_pct, reading_ts) - arg_min(battery_pct, reading_ts))
+               (arg_max(battery_pct, (reading_ts, reading_id)) - arg_min(battery_pct, (reading_ts, reading_id)))
                    / nullif(date_diff('hour', min(reading_ts), max(reading_ts)), 0) AS battery_drain_rate,
                count(*) AS readings_received, {rd('count(*) / 288.0::DOUBLE * 100', 2)} AS uptime_pct,
                count(*) FILTER (WHERE battery_pct < 15) AS low, count(*) FILTER (WHERE abs(temperature_zscore) > 3) AS odd

@@ -12,26 +12,37 @@ from .files import BAD_SQL, landing, message_stream
 from .joins import HOURLY_DOUBLES
 
 
-def as_stream(d, df, label: str, slices: list[str] | None = None, ts: str = "loaded_at"):
-    """A frame written as files and read as a stream, one slice of the load time per micro-batch."""
+def as_stream(d, df, label: str):
+    """A frame written as files and read as a stream."""
     path = d.scratch(label)
-    edges = [None, *(slices or []), None]
+    df.write.parquet(path)
+    return d.spark.readStream.schema(df.schema).parquet(path)
+
+
+def feed(d, df, label: str, slices: list[str], start, ts: str = "loaded_at"):
+    """Append one slice of the load time after the other, in as many files as it has tasks, and let the stream that ``start``
+    begins (anew, from its checkpoint) take in each slice before the next comes."""
+    path = d.scratch(label)
+    edges = [None, *slices, None]
     for low, high in zip(edges, edges[1:]):
         part = df
         if low:
             part = part.filter(F.col(ts) >= F.lit(low).cast("timestamp_ntz"))
         if high:
             part = part.filter(F.col(ts) < F.lit(high).cast("timestamp_ntz"))
-        part.coalesce(1).write.mode("append").parquet(path) if slices else part.write.mode("append").parquet(path)
-    reader = d.spark.readStream.schema(df.schema)
-    return (reader.option("maxFilesPerTrigger", 1) if slices else reader).parquet(path)
+        part.write.mode("append").parquet(path)
+        start(d.spark.readStream.schema(df.schema).parquet(path)).awaitTermination()
+
+
+def append_to(stream, path: str, checkpoint: str):
+    return stream.writeStream.format("parquet").option("checkpointLocation", checkpoint) \
+        .outputMode("append").trigger(availableNow=True).start(path)
 
 
 def drain(d, stream, label: str = "out"):
     """Run a stream over what is there and return what it wrote."""
     path = d.scratch(label)
-    stream.writeStream.format("parquet").option("checkpointLocation", d.scratch("checkpoint")) \
-        .outputMode("append").trigger(availableNow=True).start(path).awaitTermination()
+    append_to(stream, path, d.scratch("checkpoint")).awaitTermination()
     return d.spark.read.schema(stream.schema).parquet(path)
 
 
@@ -49,8 +60,10 @@ def parse_stream(d):
 
 @query("m2_dedup_stream", "SELECT reading_id, device_id, reading_ts, temperature FROM deduped", doubles="temperature")
 def dedup_stream(d):
-    stream = as_stream(d, d.staged, "staged", ["2024-01-10", "2024-01-20"])
-    return drain(d, layers.dedup_stream(stream)).select("reading_id", "device_id", "reading_ts", "temperature")
+    out, checkpoint = d.scratch("out"), d.scratch("checkpoint")
+    feed(d, d.staged, "staged", ["2024-01-10", "2024-01-20"],
+         lambda stream: append_to(layers.dedup_stream(stream), out, checkpoint))
+    return d.spark.read.parquet(out).select("reading_id", "device_id", "reading_ts", "temperature")
 
 
 @query("m3_validate_stream", """
@@ -70,26 +83,19 @@ def late_stream(d):
     return out.select("reading_id", "loaded_at", "arrival_delay_minutes")
 
 
-STREAM_DOUBLES = " ".join(c for c in HOURLY_DOUBLES.split() if c in (
-    "avg_temperature min_temperature max_temperature stddev_temperature avg_humidity avg_pressure avg_co2_level "
-    "avg_battery_pct min_battery_pct").split())
-
-
-@query("m5_hourly_stream", f"""
-    SELECT hourly_reading_id, device_id, reading_hour, {', '.join(STREAM_DOUBLES.split())}, reading_count, anomaly_count
-    FROM hourly""", doubles=STREAM_DOUBLES)
+@query("m5_hourly_stream", "SELECT * FROM hourly", doubles=HOURLY_DOUBLES)
 def hourly_stream(d):
-    stream = as_stream(d, d.layers.enriched, "enriched", ["2024-01-10", "2024-01-20"])
-    dst = d.scratch("hourly")
-    layers.write_hourly(layers.hourly_stream(stream), dst, d.scratch("checkpoint")).awaitTermination()
+    store, dst, checkpoint = d.scratch("readings"), d.scratch("hourly"), d.scratch("checkpoint")
+    feed(d, d.layers.enriched, "enriched", ["2024-01-10", "2024-01-20"],
+         lambda stream: layers.write_hourly(stream, store, dst, checkpoint))
     return d.spark.read.parquet(dst).drop("report_day")
 
 
 @query("m6_score_stream", "SELECT reading_id, temperature_zscore FROM scored", doubles="temperature_zscore")
 def score_stream(d):
-    stream = as_stream(d, d.layers.deduped, "deduped", ["2024-01-10", "2024-01-20"])
-    dst = d.scratch("scored")
-    rolling.score_stream(stream, dst, d.scratch("checkpoint")).awaitTermination()
+    dst, checkpoint = d.scratch("scored"), d.scratch("checkpoint")
+    feed(d, d.layers.deduped, "deduped", ["2024-01-10", "2024-01-20"],
+         lambda stream: rolling.score_stream(stream, dst, checkpoint))
     return d.spark.read.parquet(f"{dst}/scored").select("reading_id", "temperature_zscore")
 
 
@@ -98,9 +104,9 @@ def score_stream(d):
 def incremental_layers(d):
     """Staged micro-batches through all layers; the report must be that of a full run."""
     state = IncrementalLayers(d.spark, d.scratch("layers"), d.registry, d.thresholds)
-    stream = as_stream(d, d.staged, "staged", ["2024-01-12", "2024-01-22"])
-    stream.writeStream.option("checkpointLocation", d.scratch("checkpoint")).trigger(availableNow=True).foreachBatch(
-        lambda batch, batch_id: state.apply(batch, batch_id)).start().awaitTermination()
+    checkpoint = d.scratch("checkpoint")
+    feed(d, d.staged, "staged", ["2024-01-12", "2024-01-22"], lambda stream: stream.writeStream.option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(state.apply).start())
     return state.overview()
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -37,8 +38,8 @@ def write_version(df: DataFrame, path: str, committed_at: dt.datetime) -> int:
     spark = df.sparkSession
     last = list_versions(spark, path).agg(F.max("version")).first()[0]
     version = 1 if last is None else last + 1
-    location = f"{path}/data/version={version:06d}"
-    df.write.mode("overwrite").parquet(location)
+    location = f"{path}/data/version={version:06d}-{uuid.uuid4().hex}"  # two writers never share a folder
+    df.write.mode("errorifexists").parquet(location)
     row = spark.createDataFrame([(version, committed_at, location)],
                                 "version long, committed_at timestamp_ntz, location string")
     row.coalesce(1).write.mode("append").parquet(f"{path}/{_MANIFEST}")

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.keys import key_text
-from ..functions.numbers import count_if
+from ..functions.timing import trunc
+from ..operators.marts import hourly_readings
 from ..operators.staging import stage_readings
 from ..operators.validation import REASONS, error_count, flag_ranges, late_arrivals
 from ..sources.messages import split_deadletter
 from ..sources.tables import upsert_partitions
 
+NO_DAY = "1970-01-01"
+
 
 def parse_stream(messages: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame]:
     """Staged rows and dead letters of a message stream. Needs ``loaded_at`` and ``source_file`` on the messages."""
@@ -45,47 +47,23 @@ def late_stream(staged: DataFrame, minutes: int = 60) -> DataFrame:
     return late_arrivals(staged, minutes)
 
 
-def hourly_stream(enriched: DataFrame, delay: str = "26 hours") -> DataFrame:
-    """Tumbling hourly facts per device; use update mode and upsert by key.
+def write_hourly(enriched: DataFrame, store: str, dst: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Keep the hourly fact table current without a watermark, so no clock, early or late, ever drops a reading.
 
-    ``delay`` must cover the longest way of a reading, because Spark leaves out what comes later; data without
-    such a bound belongs into :class:`~motefield.plans.incremental.IncrementalLayers`, which recomputes any day.
+    A batch goes into its own folder of ``store`` (a repeated batch replaces itself), the hours it touches are computed
+    again from the stored readings of those days, and they are upserted into their day partitions. Readings without a time count
+    to the day ``NO_DAY``.
     """
-    event_time = enriched.withColumn("_event_time", F.col("reading_ts").cast("timestamp"))
-    facts = (
-        event_time.withWatermark("_event_time", delay)
-        .groupBy(F.window("_event_time", "1 hour"), "device_id")
-        .agg(
-            F.avg("temperature").alias("avg_temperature"),
-            F.min("temperature").alias("min_temperature"),
-            F.max("temperature").alias("max_temperature"),
-            F.stddev_samp("temperature").alias("stddev_temperature"),
-            F.avg("humidity").alias("avg_humidity"),
-            F.avg("pressure").alias("avg_pressure"),
-            F.avg("co2_level").alias("avg_co2_level"),
-            F.avg("battery_pct").alias("avg_battery_pct"),
-            F.min("battery_pct").alias("min_battery_pct"),
-            F.count(F.lit(1)).alias("reading_count"),
-            count_if(F.abs(F.col("temperature_zscore")) > 3).alias("anomaly_count"),
-        )
-    )
-    hour = F.col("window.start").cast("timestamp_ntz")
-    text = F.concat_ws("-", "device_id", key_text(hour, hour_type()))
-    return facts.select(F.md5(text).alias("hourly_reading_id"), "device_id", hour.alias("reading_hour"),
-                        *[c for c in facts.columns if c not in ("window", "device_id")])
-
-
-def hour_type():
-    from pyspark.sql.types import TimestampNTZType
+    day = F.coalesce(F.to_date("reading_ts"), F.lit(NO_DAY).cast("date"))
 
-    return TimestampNTZType()
-
-
-def write_hourly(facts: DataFrame, dst: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Keep the fact table current: every micro-batch upserts the hours it changed, in their day partitions."""
     def land(batch: DataFrame, batch_id: int) -> None:
-        day = batch.withColumn("report_day", F.to_date("reading_hour"))
-        upsert_partitions(day, dst, "hourly_reading_id", "report_day")
-
-    return facts.writeStream.outputMode("update").option("checkpointLocation", checkpoint) \
-        .foreachBatch(land).trigger(**(trigger or {"availableNow": True})).start()
+        dated = batch.withColumns({"report_day": day, "_hour": trunc("hour", "reading_ts")})
+        dated.write.mode("overwrite").partitionBy("report_day").parquet(f"{store}/batch={batch_id:09d}")
+        touched = dated.select("report_day", F.col("device_id").alias("_device"), F.col("_hour").alias("_touched")).distinct()
+        stored = batch.sparkSession.read.parquet(store)
+        rows = stored.join(touched, (stored["report_day"] == touched["report_day"]) & stored["device_id"].eqNullSafe(touched["_device"])
+                           & stored["_hour"].eqNullSafe(touched["_touched"]), "left_semi")
+        facts = hourly_readings(rows).withColumn("report_day", F.coalesce(F.to_date("reading_hour"), F.lit(NO_DAY).cast("date")))
+        upsert_partitions(facts, dst, "hourly_reading_id", "report_day")
+
+    return enriched.writeStream.option("checkpointLocation", checkpoint).foreachBatch(land).trigger(**(trigger or {"availableNow": True})).start()

@@ -224,3 +224,25 @@ def test_golden_counts(data):
     rows = x.enriched.join(data.registry.select("device_id", "base_latitude", "base_longitude"), "device_id")
     km = distance_km(F.col("latitude"), F.col("longitude"), F.col("base_latitude"), F.col("base_longitude"))
     assert str(rows.agg(F.sum(km.cast("decimal(18,6)"))).first()[0]) == "3212.386767"
+
+
+def test_drain_of_readings_at_one_time_follows_the_id(frame):
+    rows = [("D1", "R2", 90.0, 0), ("D1", "R1", 80.0, 0), ("D1", "R4", 60.0, 2), ("D1", "R3", 70.0, 2)]
+    results = []
+    for order in (rows, rows[::-1]):
+        df = frame(order, "device_id string, reading_id string, battery_pct double, hours int").selectExpr(
+            "*", "timestampadd(HOUR, hours, TIMESTAMP_NTZ '2024-01-02 00:00:00') AS reading_ts", "0.0D AS temperature_zscore")
+        results.append(marts.device_health(df).first()["battery_drain_rate"])
+    assert results == [-10.0, -10.0]
+
+
+def test_hour_spine_with_a_clock_in_a_far_year(frame):
+    df = frame([("2024-01-01 10:30:00",), ("9999-12-31 23:10:00",)], "at string").selectExpr("CAST(at AS TIMESTAMP_NTZ) AS reading_ts")
+    spine = dimensional.dim_time_spanning(df).select("hour_ts")
+    assert spine.rdd.getNumPartitions() > 1
+    assert spine.count() == (dt.datetime(9999, 12, 31, 23) - dt.datetime(2024, 1, 1, 10)) // dt.timedelta(hours=1) + 1
+    assert dimensional.dim_time_spanning(df.where("false")).count() == 0
+
+
+def test_rounding_beyond_the_decimal_is_null(frame):
+    assert [r[0] for r in frame([(1e30,), (1.005,)], "v double").select(numbers.round_to(F.col("v"), 2)).collect()] == [None, 1.01]
