@@ -1,7 +1,8 @@
 """The layers kept current batch by batch, with the result of a full run.
 
 A reading keeps its first load. Scores are recomputed for new readings and for stored readings whose frame
-they changed; facts are recomputed for every day that has such a row, by replacing day partitions.
+they changed; facts are recomputed for every day that has such a row, by replacing day partitions. What a batch changes
+is written to a folder of its own before it is moved in, so a batch that breaks off is finished when it is repeated.
 """
 
 from __future__ import annotations
@@ -11,14 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import enrich, marts, validation
+from ..operators import dimensional, enrich, marts, validation
 from ..operators.dedup import dedup
 from ..operators.ordered import flag_anomaly
-from ..sources.tables import overwrite_partitions, read_or_none, rows_of, touched_partitions
+from ..sources.tables import is_written, overwrite_partitions, read_or_none, remove, rows_of, touched_partitions
 from ..schemas import STAGED, columns
-from ..streaming.rolling import rescore
+from ..streaming.rolling import DAY, keep_tails, rescore, stored_history
 
-DAY = "reading_day"
 LOAD_DAY = "load_day"
 
 
@@ -43,56 +43,64 @@ class IncrementalLayers:
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Bring all tables up to date with a batch. Repeating a batch id changes nothing."""
-        staged = batch.select(*columns(STAGED))
-        staged.withColumns({"batch_id": F.lit(batch_id), LOAD_DAY: F.to_date("loaded_at")}) \
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("batch_id", LOAD_DAY).parquet(self._at("staged"))
+        own = f"{self._at('staged')}/batch_id={batch_id}"
+        batch.select(*columns(STAGED)).withColumn(LOAD_DAY, F.to_date("loaded_at")) \
+            .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(LOAD_DAY).parquet(own)
+        staged = self.spark.read.parquet(own).select(*columns(STAGED))
+        changed, merged = (self._at(f"{name}/batch={batch_id:09d}") for name in ("changed", "merged"))
+        if not is_written(self.spark, merged):  # else the batch broke off while its days were moved in
+            self._rescored(staged, batch_id).write.mode("overwrite").parquet(changed)
+            rows, old = self.spark.read.parquet(changed), self.read("validated")
+            if old is not None:
+                kept = enrich.without(self._days("validated", touched_partitions(rows, DAY)), rows, "reading_id")
+                rows = rows.unionByName(kept.select(*rows.columns))
+            rows.write.mode("overwrite").parquet(merged)
+        changed_rows = self.spark.read.parquet(changed)
+        days = touched_partitions(changed_rows, DAY)
+        if days:
+            overwrite_partitions(self.spark.read.parquet(merged), self._at("validated"), DAY, LOAD_DAY)
+            keep_tails(self.spark, self._at("validated"), self._at("tails"), days, [*columns(STAGED), "batch_id"])
+            self._facts(days)
+        self._count_files(changed_rows, staged)
+        remove(self.spark, merged, changed)
 
+    def _rescored(self, staged: DataFrame, batch_id: int) -> DataFrame:
+        """New readings and stored ones whose frames they change, validated; days before the first one are not read for scores."""
+        names = [*columns(STAGED), "batch_id"]
         old = self.read("validated")
-        fresh = dedup(staged)
+        fresh, history = dedup(staged), None
         if old is not None:
-            history = old.filter(F.col("batch_id") != batch_id)  # rows of this batch come again when it is repeated
-            fresh = enrich.insert_new(fresh, history, "reading_id")
-            history = history.select(*columns(STAGED), "batch_id")
-        else:
-            history = None
+            # rows of this batch come again when it is repeated
+            fresh = enrich.insert_new(fresh, old.filter(F.col("batch_id") != batch_id), "reading_id")
+            low = staged.agg(F.min(F.to_date("reading_ts"))).first()[0]
+            history = stored_history(self.spark, self._at("validated"), self._at("tails"), low, names)
+            history = history.filter(F.col("batch_id") != batch_id)
         scored = rescore(history, fresh.select(*columns(STAGED)).withColumn("batch_id", F.lit(batch_id)))
         flagged = validation.flag_ranges(scored, self.thresholds).withColumn("is_anomaly", flag_anomaly())
-        flagged = flagged.withColumns({
+        return flagged.withColumns({
             "validation_error_count": validation.error_count(),
             DAY: F.to_date("reading_ts"),
             LOAD_DAY: F.to_date("loaded_at"),
         })
-        changed = self._at(f"changed/batch={batch_id:09d}")  # cuts the lineage before it is read several times
-        flagged.write.mode("overwrite").parquet(changed)
-        changed_rows = self.spark.read.parquet(changed)
-        days = touched_partitions(changed_rows, DAY)
-        if days:
-            merged = changed_rows
-            if old is not None:
-                kept = enrich.without(self._days("validated", days), changed_rows, "reading_id")
-                merged = changed_rows.unionByName(kept.select(*changed_rows.columns))
-            overwrite_partitions(merged, self._at("validated"), DAY, LOAD_DAY)
-            self._facts(days)
-        self._count_files(changed_rows, staged)
 
     def _facts(self, days: list) -> None:
         validated = self._days("validated", days)
         enriched = enrich.enrich(validated, self.registry)
         facts = {
+            "enriched": (enriched, F.to_date("reading_ts")),
+            "quarantined": (validation.quarantine(validated, F.col("loaded_at")), F.to_date("reading_ts")),
+            "late": (validation.late_arrivals(validated), F.to_date("reading_ts")),
+            "obt": (dimensional.obt(enriched, self.registry, self.thresholds), F.to_date("reading_ts")),
             "hourly": (marts.hourly_readings(enriched), F.to_date("reading_hour")),
             "health": (marts.device_health(enriched), F.col("report_date")),
             "anomalies": (marts.anomalies(validated, self.thresholds), F.to_date("detected_at")),
         }
-        filled = {
-            "hourly": F.col("validation_error_count") == 0,
-            "health": F.col("validation_error_count") == 0,
-            "anomalies": F.col("validation_error_count") > 0,
-        }
+        valid = F.col("validation_error_count") == 0
+        filled = dict.fromkeys(facts, valid) | dict.fromkeys(("quarantined", "anomalies"), ~valid)
         for name, (df, day) in facts.items():
             old = self.read(name)
             overwrite_partitions(df.withColumn(DAY, day), self._at(name), DAY)
-            if old is not None:
+            if old is not None and name != "late":  # a late reading stays late
                 present = touched_partitions(validated.filter(filled[name]), DAY)
                 self._empty(name, old, [d for d in days if d not in present])
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timing import as_ts
-from ..operators.history import merge_upsert
+from ..operators.history import merge_upsert, scd2_apply
 
 _MANIFEST = "_versions"
 
@@ -25,6 +25,19 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was committed."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete tables that nothing reads any more, on whatever store they are."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def list_versions(spark: SparkSession, path: str) -> DataFrame:
     """(version, committed_at, location) of every committed version."""
     manifest = read_or_none(spark, f"{path}/{_MANIFEST}")
@@ -93,6 +106,21 @@ def upsert_partitions(new: DataFrame, path: str, key: str | Sequence[str], by: s
     overwrite_partitions(merge_upsert(old, new, key), path, by)
 
 
+def snapshot_table(current: DataFrame, path: str, key: str, check_cols: Sequence[str], as_of: dt.datetime) -> DataFrame:
+    """Bring the stored type-2 history at ``path`` up to date with the current state and return it.
+
+    Every run writes a new version, so a run that breaks off leaves the history as it was.
+    """
+    spark = current.sparkSession
+    if list_versions(spark, path).isEmpty():
+        stamp = F.lit(None).cast("timestamp_ntz")
+        history = current.limit(0).withColumns({"valid_from": stamp, "valid_to": stamp})
+    else:
+        history = read_as_of(spark, path)
+    write_version(scd2_apply(history, current, key, check_cols, as_of), path, as_of)
+    return read_as_of(spark, path)
+
+
 def merge_into_table(new: DataFrame, table: str, key: str) -> None:
     """The same upsert as ``MERGE INTO`` on a table whose format supports it."""
     condition = F.expr(f"{table}.{key} = source.{key}")
