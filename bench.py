@@ -50,7 +50,8 @@ def ingest_rates(spark, sf_dir: str) -> dict[str, float]:
     messages = message_stream(d).withColumnsRenamed({"timestamp": "loaded_at", "topic": "source_file"})
     rates["m1_parse"] = run(layers.parse_stream(messages)[0])
     staged = as_stream(d, d.staged, "staged")
-    rates["m2_dedup"] = run(layers.dedup_stream(staged))
+    rates["m2_dedup"] = rows / seconds(
+        lambda: layers.write_deduped(staged, d.scratch("deduped"), d.scratch("checkpoint")).awaitTermination())
     rates["m3_validate"] = run(layers.validate_stream(staged, d.thresholds))
     rates["m4_late"] = run(layers.late_stream(staged))
     enriched = as_stream(d, d.layers.enriched, "enriched")

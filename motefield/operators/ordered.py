@@ -17,13 +17,14 @@ All that is collected and broadcast is bounded by construction: a key is hot onl
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 10_000
 ROWS_PER_SLICE = 5_000_000
-MAX_LEVELS = 10
+ID_CHARS = 48
 
 
 def _same(names: Sequence[str], prefix: str) -> Column:
@@ -60,7 +61,7 @@ class HotKeys:
         listed = F.broadcast(profile.sparkSession.createDataFrame(names, heavy.schema))
         heavy_rows = profile.join(listed, _same(self.keys, "_h_"), "left_semi")
         rows = self._start(heavy_rows.select(*self.keys, *self._axis_columns()))
-        for level in range(MAX_LEVELS):
+        for level in count():  # every level cuts a full cell at least in two, so this ends
             cells = self._full_cells(rows, 2 if level else 1)
             found = cells.collect()  # at most MAX_HOT_KEYS rows
             if not found:
@@ -114,16 +115,20 @@ class HotKeys:
         return rows.drop(*[f"_v{i}" for i in range(len(self.axes))])
 
 
-def _text_number(text: Column) -> Column:
-    """The first six bytes of a text as a number, which sorts like the text as far as it goes."""
-    digits = F.rpad(F.hex(F.left(text, F.lit(6))), 12, "0")
-    return F.conv(F.left(digits, F.lit(12)), 16, 10).cast("double")
+def _text_number(text: Column, start: int) -> Column:
+    """Six bytes of a text from ``start`` on as a number, which sorts like the text if all before is equal."""
+    digits = F.rpad(F.hex(F.substring(F.encode(text, "utf-8"), start, 6)), 12, "0")
+    return F.conv(digits, 16, 10).cast("double")
 
 
 def time_axes(ts: str, ties: Sequence[str] = ()) -> list[Column]:
-    """Axes of ``ORDER BY ts NULLS LAST, ties``; only a text tie can cut rows of equal time."""
+    """Axes of ``ORDER BY ts NULLS LAST, ties``; only a text tie can cut rows of equal time.
+
+    The first ``ID_CHARS`` bytes of the tie are axes of six bytes each, so ids may have a long common beginning.
+    """
     axes = [F.col(ts).isNull().cast("int"), F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(0))]
-    return axes + [F.coalesce(_text_number(F.col(t).cast("string")), F.lit(float(1 << 48))) for t in ties[:1]]
+    return axes + [F.coalesce(_text_number(F.col(t).cast("string"), at), F.lit(float(1 << 48)))
+                   for t in ties[:1] for at in range(1, ID_CHARS, 6)]
 
 
 def rolling(

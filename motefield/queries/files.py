@@ -75,13 +75,20 @@ def partitioned_layout(d):
 
 
 @query("a5_load_new_files", f"""
-    SELECT {BROKEN} AS first_run, 0::BIGINT AS second_run, count(*) AS row_count, count(DISTINCT device_id) AS devices
-    FROM staged""")
+    SELECT {BROKEN} AS first_run, 0::BIGINT AS second_run, count(*) AS row_count, count(DISTINCT device_id) AS devices,
+           1::BIGINT AS dead_letters, 1::BIGINT AS failed, {BROKEN} - 1 AS succeeded, count(*) AS audited_rows
+    FROM staged""", longs="succeeded audited_rows")
 def load_new_files(d):
     src, dst, checkpoint = landing(d), d.scratch("raw"), d.scratch("checkpoint")
     runs = [ingest.load_new_files(d.spark, src, dst, checkpoint, pattern="*.txt") for _ in range(2)]
     table = d.spark.read.parquet(dst)
+    dead = d.spark.read.parquet(ingest.dead_letters_of(dst)).agg(F.count("value")).scalar()
+    audit = d.spark.read.parquet(ingest.audit_of(dst))
+    failed = audit.filter("load_status = 'FAILED' AND error_details IS NOT NULL").agg(F.count(F.lit(1))).scalar()
+    succeeded = audit.filter("load_status = 'SUCCESS'").agg(F.count(F.lit(1))).scalar()
     return table.agg(
+        dead.alias("dead_letters"), failed.alias("failed"), succeeded.alias("succeeded"),
+        audit.agg(F.sum("rows_loaded")).scalar().alias("audited_rows"),
         F.lit(runs[0]).cast("long").alias("first_run"), F.lit(runs[1]).cast("long").alias("second_run"),
         F.count(F.lit(1)).alias("row_count"),
         F.count_distinct(json_field("raw_data", "device_id")).alias("devices"))
@@ -99,15 +106,29 @@ def ingest_continuous(d):
         F.count(F.lit(1)).alias("n"))
 
 
-@query("a7_reload_files", "SELECT reading_id, temperature FROM deduped", doubles="temperature")
+@query("a7_reload_files", f"""
+    SELECT reading_id, temperature + CASE WHEN CAST(substring(reading_id, 2) AS BIGINT) // {PER_FILE} % 2 = 1 THEN 1 ELSE 0 END
+           AS temperature FROM deduped""", doubles="temperature")
 def reload_files(d):
-    """Everything is loaded again and merged by key: nothing doubles."""
-    src = landing(d)
-    target = dedup(stage_readings(files.read_raw_variant(d.spark, src, "*.txt", "2024-02-01 00:00:00")
-                                  .filter(F.col("raw_data").isNotNull())))
-    again = dedup(stage_readings(files.reload_files(d.spark, src, "part-0000*.txt", "2024-02-02 00:00:00")
-                                 .filter(F.col("raw_data").isNotNull())))
-    return merge_upsert(target, again, "reading_id").select("reading_id", "temperature")
+    """The files of one folder were corrected after they had been loaded: loaded again and merged by key, they replace their rows."""
+    odd = F.floor(F.substring("reading_id", 2, 20).cast("long") / PER_FILE) % 2 == 1
+
+    def write(rows, path):
+        block = F.floor(F.substring("reading_id", 2, 20).cast("long") / PER_FILE)
+        rows.groupBy(block.alias("block")).agg(F.collect_list(payload(rows, False)).alias("json")) \
+            .select(F.concat(F.lit("["), F.array_join("json", ","), F.lit("]")).alias("value")) \
+            .write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+    src = d.scratch("landing")
+    write(d.staged.filter(~odd), f"{src}/even")
+    write(d.staged.filter(odd), f"{src}/odd")
+    target = d.scratch("target")
+    dedup(stage_readings(files.read_raw_variant(d.spark, src, "*.txt", "2024-02-01 00:00:00")
+                         .filter("raw_data IS NOT NULL"))).write.parquet(target)
+    write(d.staged.filter(odd).withColumn("temperature", F.col("temperature") + 1), f"{src}/odd")
+    again = dedup(stage_readings(files.reload_files(d.spark, f"{src}/odd", "*.txt", "2024-02-02 00:00:00")
+                                 .filter("raw_data IS NOT NULL")))
+    return merge_upsert(d.spark.read.parquet(target), again, "reading_id").select("reading_id", "temperature")
 
 
 @query("a8_change_feed", """

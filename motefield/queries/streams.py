@@ -62,7 +62,7 @@ def parse_stream(d):
 def dedup_stream(d):
     out, checkpoint = d.scratch("out"), d.scratch("checkpoint")
     feed(d, d.staged, "staged", ["2024-01-10", "2024-01-20"],
-         lambda stream: append_to(layers.dedup_stream(stream), out, checkpoint))
+         lambda stream: layers.write_deduped(stream, out, checkpoint))
     return d.spark.read.parquet(out).select("reading_id", "device_id", "reading_ts", "temperature")
 
 

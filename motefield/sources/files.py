@@ -114,20 +114,27 @@ def load_seeds(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
 
 
 def audit_load(parsed: DataFrame, as_of: Column | dt.datetime) -> DataFrame:
-    """Per file: rows parsed, rows loaded, errors and a status. ``parsed`` carries ``_corrupt_record``."""
+    """Per file: rows parsed, rows loaded, errors, what is wrong and a status. ``parsed`` carries ``_corrupt_record``.
+
+    ``as_of`` is a time or an aggregate of the rows of a file.
+    """
     # the JSON reader wants a data column next to the corrupt one
     witness = F.coalesce(F.col("reading_id"), F.lit("")) if "reading_id" in parsed.columns else F.lit("")
+    broken = F.col(CORRUPT).isNotNull()
     counted = parsed.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("rows_parsed"),
-        F.count(F.when(F.col(CORRUPT).isNotNull(), witness)).alias("errors_seen"),
+        F.count(F.when(broken, witness)).alias("errors_seen"),
+        F.max(F.when(broken, F.length(CORRUPT))).alias("_length"),
+        as_ts(as_of).alias("_now"),
     )
     loaded = F.col("rows_parsed") - F.col("errors_seen")
     status = F.when(F.col("errors_seen") == 0, "SUCCESS").when(loaded == 0, "FAILED").otherwise("PARTIAL")
-    now = as_ts(as_of)
-    load_id = F.md5(F.concat_ws("-", "source_file", F.date_format(now, "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+    details = F.when(F.col("errors_seen") > 0, F.format_string("%d of %d values do not parse as JSON, the longest of %d characters",
+                                                               "errors_seen", "rows_parsed", "_length"))
+    load_id = F.md5(F.concat_ws("-", "source_file", F.date_format("_now", "yyyy-MM-dd HH:mm:ss.SSSSSS")))
     return counted.select(
         load_id.alias("load_id"), "source_file", loaded.alias("rows_loaded"), "rows_parsed", "errors_seen",
-        status.alias("load_status"), now.alias("loaded_at"),
+        details.alias("error_details"), status.alias("load_status"), F.col("_now").alias("loaded_at"),
     )
 
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.files import CORRUPT, stream_raw_variant
+from ..sources.files import CORRUPT, audit_load, stream_raw_variant
 from ..sources.messages import split_deadletter, stream_rows
 
 
@@ -18,27 +19,51 @@ def _rows(query: StreamingQuery) -> int:
     return sum(p["numInputRows"] for p in query.recentProgress)
 
 
-def _raw_table(stream: DataFrame, dst: str, checkpoint: str):
-    rows = stream.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append") \
-        .option("path", dst)
+def dead_letters_of(dst: str) -> str:
+    """The table of files that do not parse: their whole text, so that nothing is lost."""
+    return f"{dst}_dead"
+
+
+def audit_of(dst: str) -> str:
+    """The table with one row per file and load."""
+    return f"{dst}_audit"
+
+
+def _load(stream: DataFrame, dst: str, checkpoint: str, trigger: dict, seen: list[int]) -> StreamingQuery:
+    """Good rows to ``dst``, broken files to the dead letters, a row per file to the audit.
+
+    Each batch writes folders named after its id, so a repeated batch replaces itself. A file that holds an empty array has no
+    rows and no audit row.
+    """
+    def land(batch: DataFrame, batch_id: int) -> None:
+        spark, own = batch.sparkSession, f"batch={batch_id:09d}"
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        broken = F.col(CORRUPT).isNotNull()
+        batch.filter(~broken).drop(CORRUPT).write.mode("overwrite").parquet(f"{dst}/{own}")
+        batch.filter(broken).select(F.col(CORRUPT).alias("value"), "source_file", "loaded_at") \
+            .write.mode("overwrite").parquet(f"{dead_letters_of(dst)}/{own}")
+        audit_load(batch, F.max("loaded_at")).write.mode("overwrite").parquet(f"{audit_of(dst)}/{own}")
+        batch.unpersist()
+        seen.append(spark.read.parquet(f"{audit_of(dst)}/{own}").count())
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(land).trigger(**trigger).start()
 
 
 def load_new_files(spark: SparkSession, src: str, dst: str, checkpoint: str,
                    loaded_at: Column | dt.datetime | None = None, max_files: int | None = None,
                    pattern: str = "*.json") -> int:
     """Append files not loaded before and return how many files were read; a second run loads none."""
-    stream = stream_raw_variant(spark, src, pattern, loaded_at, max_files)
-    query = _raw_table(stream, dst, checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return _rows(query)
+    seen: list[int] = []
+    _load(stream_raw_variant(spark, src, pattern, loaded_at, max_files), dst, checkpoint, {"availableNow": True}, seen) \
+        .awaitTermination()
+    return sum(seen)
 
 
 def ingest_continuous(spark: SparkSession, src: str, dst: str, checkpoint: str, interval: str = "1 minute",
                       max_files: int | None = None, pattern: str = "*.json") -> StreamingQuery:
     """The same load, running until stopped."""
     stream = stream_raw_variant(spark, src, pattern, max_files=max_files)
-    return _raw_table(stream, dst, checkpoint).trigger(processingTime=interval).start()
+    return _load(stream, dst, checkpoint, {"processingTime": interval}, [])
 
 
 def read_changes(spark: SparkSession, table: str) -> DataFrame:

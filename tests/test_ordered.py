@@ -73,15 +73,16 @@ def test_rank_counts_rows_above(frame, value):
     assert got == want
 
 
+@pytest.mark.parametrize("prefix", ["R", "sensor-reading-of-device-"])
 @pytest.mark.parametrize("shape", ["steady", "burst", "one instant", "no time"])
-def test_no_slice_is_much_larger_than_asked(frame, shape):
+def test_no_slice_is_much_larger_than_asked(frame, shape, prefix):
     when = {
         "steady": lambda i: START + dt.timedelta(minutes=i),
         "burst": lambda i: START + dt.timedelta(seconds=i if i < 3000 else 3000 + i * 600),
         "one instant": lambda i: START if i < 3000 else START + dt.timedelta(days=i),
         "no time": lambda i: None if i < 3000 else START + dt.timedelta(days=i),
     }[shape]
-    df = frame([("HOT", f"R{i:05d}", when(i), float(i % 13)) for i in range(4000)], DDL)
+    df = frame([("HOT", f"{prefix}{i:05d}", when(i), float(i % 13)) for i in range(4000)], DDL)
     hot = ordered.HotKeys(df, ["device_id"], ordered.time_axes("reading_ts", ["reading_id"]), rows_per_slice=100)
     largest = hot.sliced(df).groupBy("device_id", "_slice").count().agg(F.max("count")).first()[0]
     assert largest <= 200

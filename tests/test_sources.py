@@ -11,6 +11,7 @@ from motefield.operators import quality
 from motefield.schemas import PAYLOAD_FIELDS, STAGED, struct
 from motefield.session import shared_dir
 from motefield.sources import files, messages, tables
+from motefield.streaming.layers import write_deduped
 from motefield.streaming import ingest, rolling
 from motefield.operators.ordered import rolling_zscore
 
@@ -56,10 +57,36 @@ def test_each_file_is_loaded_once(spark, landing, tmp_path):
     assert ingest.has_new(spark, dst, str(tmp_path / "feed"))
     assert ingest.load_new_files(spark, landing, dst, checkpoint) == 1
     assert spark.read.parquet(dst).count() == 5
+    dead = spark.read.parquet(ingest.dead_letters_of(dst)).collect()
+    assert [(r["source_file"].rsplit("/", 1)[1], r["value"][:1]) for r in dead] == [("batch_2.json", "[")]
+    audit = {r["source_file"].rsplit("/", 1)[1]: r for r in spark.read.parquet(ingest.audit_of(dst)).collect()}
+    assert {k: (r["rows_loaded"], r["load_status"], r["error_details"] is None) for k, r in audit.items()} == {
+        "batch_1.json": (3, "SUCCESS", True), "batch_2.json": (0, "FAILED", False), "batch_3.json": (1, "SUCCESS", True),
+        "batch_9.json": (1, "SUCCESS", True)}
     with pytest.raises(ValueError):
         ingest.replay(spark, landing, dst, str(tmp_path / "fresh"))
 
 
+def test_dedup_on_a_stream_keeps_old_loads_and_far_copies(spark, frame, tmp_path):
+    """A load time far behind the newest drops no reading, and a copy that comes weeks later is still a copy."""
+    ddl = "reading_id string, loaded_at string, source_file string"
+    src, dst, checkpoint = (str(tmp_path / name) for name in ("src", "dst", "checkpoint"))
+    for part in ([("r1", "2024-03-01", "a"), ("r1", "2024-03-01", "b")], [("r2", "2024-01-01", "c")], [("r1", "2024-05-01", "d"), ("r3", None, "d")]):
+        typed = frame(part, ddl).withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz"))
+        typed.write.mode("append").parquet(src)
+        write_deduped(spark.readStream.schema(typed.schema).parquet(src), dst, checkpoint).awaitTermination()
+    assert sorted((r["reading_id"], r["source_file"]) for r in spark.read.parquet(dst).collect()) == [("r1", "a"), ("r2", "c"), ("r3", "d")]
+
+
+def test_stored_history_grows_by_changes(spark, frame, tmp_path):
+    path, ddl = str(tmp_path / "history"), "device_id string, firmware string"
+    for day, rows in ((1, [("a", "1"), ("b", "1")]), (2, [("a", "2"), ("b", "1")]), (3, [("a", "2")])):
+        got = tables.snapshot_table(frame(rows, ddl), path, "device_id", ["firmware"], dt.datetime(2024, 1, day))
+    assert sorted((r["device_id"], r["firmware"], r["valid_from"].day, r["valid_to"] and r["valid_to"].day) for r in got.collect()) == [
+        ("a", "1", 1, 2), ("a", "2", 2, None), ("b", "1", 1, None)]
+    assert tables.list_versions(spark, path).count() == 3
+
+
 def test_seeds(spark, tmp_path):
     (tmp_path / "device_registry.csv").write_text(
         "device_id,device_name,device_type,cluster_id,base_latitude,base_longitude,install_date\n"
