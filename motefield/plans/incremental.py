@@ -95,14 +95,13 @@ class IncrementalLayers:
             "health": (marts.device_health(enriched), F.col("report_date")),
             "anomalies": (marts.anomalies(validated, self.thresholds), F.to_date("detected_at")),
         }
-        valid = F.col("validation_error_count") == 0
-        filled = dict.fromkeys(facts, valid) | dict.fromkeys(("quarantined", "anomalies"), ~valid)
+        valid, bad = (touched_partitions(part, DAY) for part in validation.split_valid(validated))
+        filled = dict.fromkeys(facts, valid) | dict.fromkeys(("quarantined", "anomalies"), bad)
         for name, (df, day) in facts.items():
             old = self.read(name)
             overwrite_partitions(df.withColumn(DAY, day), self._at(name), DAY)
             if old is not None and name != "late":  # a late reading stays late
-                present = touched_partitions(validated.filter(filled[name]), DAY)
-                self._empty(name, old, [d for d in days if d not in present])
+                self._empty(name, old, [d for d in days if d not in filled[name]])
 
     def _empty(self, name: str, old: DataFrame, days: list) -> None:
         """Days whose last row of a fact went away, for instance because it became an anomaly."""

@@ -219,6 +219,19 @@ def dim_time(d):
     return d.layers.dim_time
 
 
+@query("j14_fixed_spine", """
+    SELECT hour_ts, hour(hour_ts) AS hour_of_day, isodow(hour_ts) >= 6 AS is_weekend, count(reading_id) AS readings
+    FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2025-12-30 23:00:00', INTERVAL 1 HOUR)) AS hour_ts)
+    LEFT JOIN staged ON date_trunc('hour', reading_ts) = hour_ts GROUP BY hour_ts""", longs="hour_of_day")
+def fixed_spine(d):
+    """Readings per hour of the spine of two years, hours without readings included."""
+    spine = dimensional.dim_time(d.spark, "2024-01-01 00:00:00").select("hour_ts", "hour_of_day", "is_weekend")
+    per_hour = d.staged.groupBy(F.date_trunc("hour", "reading_ts").cast("timestamp_ntz").alias("hour_ts")).agg(
+        F.count("reading_id").alias("readings"))
+    return spine.join(per_hour, "hour_ts", "left").select(
+        "hour_ts", "hour_of_day", "is_weekend", F.coalesce("readings", F.lit(0)).alias("readings"))
+
+
 @query("j15_fct_normalized", f"""
     SELECT reading_id, {key('device_id')} AS device_sk, {key(ts_text("date_trunc('hour', reading_ts)::TIMESTAMP"))}
            AS time_sk, temperature, humidity, pressure, battery_pct, latitude, longitude, temperature_zscore,

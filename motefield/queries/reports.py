@@ -52,14 +52,16 @@ def monitoring_report(d):
     return reports.monitoring_report(d.staged, d.settled.quality, d.settled.anomalies, d.as_of)
 
 
-@query("l4_alerts", f"""
-    WITH m AS (
+ALERT_TEXTS = ", ".join(f"('{metric}', '{warn}', '{critical}')" for metric, _, _, _, warn, critical in reports.ALERT_RULES)
+ALERTS_SQL = f"""
+    WITH texts(metric, warn_text, critical_text) AS (VALUES {ALERT_TEXTS}), m AS (
         SELECT 'data_freshness' AS metric, 0::DOUBLE AS value
         UNION ALL SELECT 'quality_score', avg(quality_score) FROM quality
         UNION ALL SELECT 'anomaly_rate', (SELECT count(*) FROM anomalies) * 100.0::DOUBLE / count(*) FROM staged
         UNION ALL SELECT 'battery_level', min(min_battery_pct) FROM health
         UNION ALL SELECT 'device_offline', count(*)::DOUBLE FROM devices WHERE device_status = 'offline'
         UNION ALL SELECT 'quarantine_rate', (SELECT count(*) FROM quarantined) * 100.0::DOUBLE / count(*) FROM staged)
+    SELECT metric, value, level, CASE level WHEN 'warn' THEN warn_text WHEN 'critical' THEN critical_text END AS message FROM (
     SELECT metric, value, CASE metric
         WHEN 'data_freshness' THEN CASE WHEN value > 120 THEN 'critical' WHEN value > 60 THEN 'warn' ELSE 'ok' END
         WHEN 'quality_score' THEN CASE WHEN value < 60 THEN 'critical' WHEN value < 80 THEN 'warn' ELSE 'ok' END
@@ -67,11 +69,14 @@ def monitoring_report(d):
         WHEN 'battery_level' THEN CASE WHEN value < 10 THEN 'critical' WHEN value < 20 THEN 'warn' ELSE 'ok' END
         WHEN 'device_offline' THEN CASE WHEN value > 10 THEN 'critical' WHEN value > 5 THEN 'warn' ELSE 'ok' END
         ELSE CASE WHEN value > 25 THEN 'critical' WHEN value > 10 THEN 'warn' ELSE 'ok' END END AS level
-    FROM m""", doubles="value")
+    FROM m) JOIN texts USING (metric)"""
+
+
+@query("l4_alerts", ALERTS_SQL, doubles="value")
 def alerts(d):
     x = d.settled
     metrics = reports.fleet_metrics(d.staged, x.quality, x.anomalies, x.health, x.dim_devices, d.as_of)
-    return reports.alerts(metrics).drop("message")
+    return reports.alerts(metrics)
 
 
 @query("l5_quality_trend", f"""

@@ -13,10 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.files import CORRUPT, audit_load, stream_raw_variant
 from ..sources.messages import split_deadletter, stream_rows
-
-
-def _rows(query: StreamingQuery) -> int:
-    return sum(p["numInputRows"] for p in query.recentProgress)
+from ..sources.tables import read_or_none
 
 
 def dead_letters_of(dst: str) -> str:
@@ -71,25 +68,36 @@ def read_changes(spark: SparkSession, table: str) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(table).schema).parquet(table)
 
 
+def consumed_of(checkpoint: str) -> str:
+    """The table of files that a consumer of the change feed has taken."""
+    return f"{checkpoint}_consumed"
+
+
 def consume_changes(spark: SparkSession, table: str, checkpoint: str,
                     handle: Callable[[DataFrame, int], None]) -> int:
-    """Hand over what was appended since the last call and remember it; returns the number of rows."""
-    query = read_changes(spark, table).writeStream.option("checkpointLocation", checkpoint) \
-        .foreachBatch(handle).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return _rows(query)
+    """Hand over what was appended since the last call and remember it; returns the number of rows handed over."""
+    changes = read_changes(spark, table).select("*", F.col("_metadata.file_path").alias("_file"))
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        handle(batch.drop("_file"), batch_id)
+        batch.groupBy(F.col("_file").alias("path")).agg(F.count(F.lit(1)).alias("rows")) \
+            .write.mode("overwrite").parquet(f"{consumed_of(checkpoint)}/batch={batch_id:09d}")
+
+    taken = read_or_none(spark, consumed_of(checkpoint))
+    newest = -1 if taken is None else taken.agg(F.max("batch")).first()[0]
+    changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(take).trigger(availableNow=True).start() \
+        .awaitTermination()
+    taken = read_or_none(spark, consumed_of(checkpoint))
+    if taken is None:
+        return 0
+    return taken.filter(F.col("batch") > newest).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
 
 def has_new(spark: SparkSession, table: str, checkpoint: str) -> bool:
-    """Whether the table has files the checkpoint has not consumed. Consumes nothing."""
-    files = spark.read.parquet(table).select(F.col("_metadata.file_path").alias("path")).distinct()
-    try:
-        log = spark.read.text(f"{checkpoint}/sources/0/*")
-    except AnalysisException:
-        return not files.isEmpty()
-    seen = log.select(F.get_json_object("value", "$.path").alias("path")).filter("path IS NOT NULL")
-    bare = F.regexp_replace("path", "^file:/+", "file:/")
-    return not files.select(bare.alias("path")).join(seen.select(bare.alias("path")), "path", "left_anti").isEmpty()
+    """Whether the table has files that :func:`consume_changes` has not taken. Lists files, reads no rows and consumes nothing."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(table)
+    files, taken = listed.select(F.col("_metadata.file_path").alias("path")), read_or_none(spark, consumed_of(checkpoint))
+    return not (files if taken is None else files.join(taken, "path", "left_anti")).isEmpty()
 
 
 def write_raw_stream(messages: DataFrame, dst: str, dead_letters: str, checkpoint: str, seconds: int | None = 10,
