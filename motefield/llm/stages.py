@@ -23,7 +23,8 @@ def _rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
     if keys.where("copies > 1").isEmpty():
         return matching(keys)
-    return matching(keys.where("copies = 1")).unionByName(matching(keys.where("copies > 1")).dropDuplicates(["doc_id"]))
+    repeated = matching(keys.where("copies > 1")).withColumn("__digest", digest).dropDuplicates(["doc_id", "__digest"]).drop("__digest")
+    return matching(keys.where("copies = 1")).unionByName(repeated)
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -143,3 +143,17 @@ def test_stages_on_odd_rows(spark, odd, empty, work):
     assert stages.mask_secrets(odd).count() == odd.count()
     assert stages.drop_exact_copies(empty, stages.Workspace(spark, "none")).collect() == []
     assert stages.drop_near_copies(empty, stages.Workspace(spark, "none2")).collect() == []
+
+
+def test_two_texts_repeated_under_one_id(spark, work):
+    from motefield.llm import stages
+
+    texts = ["red stones lie under the old bridge", "a Letter came from far away this morning", "nobody counted the birds on that roof"]
+    rows = [(i, t, k) for i in (5, None) for t in texts for k in range(2)]
+    rows += [(i, t.upper(), 2) for i, t, k in rows if k]
+    docs = spark.createDataFrame([(i, f"{i} {t}", k) for i, t, k in rows], "doc_id long, text string, copy int")
+    expected = sorted(f"{i} {t}".translate(UPPER) for i in (5, None) for t in texts)
+    for n, drop in enumerate((stages.drop_exact_copies, stages.drop_near_copies)):
+        kept = drop(docs, stages.Workspace(spark, f"repeated-{n}"))
+        assert kept.columns == docs.columns
+        assert sorted(r["text"].translate(UPPER) for r in kept.collect()) == expected
