@@ -1,8 +1,10 @@
 """Secret scans: fixed patterns, and character Markov models of random strings against ordinary identifiers.
 
 Two first-order models over character classes with smoothing are trained from labelled samples: random strings drawn
-from the alphabets that keys use, and ordinary identifiers. A token of key characters is reported when the
-log-likelihood ratio of random over ordinary is above ``MARGIN`` in total.
+from the alphabets that keys use, and ordinary identifiers, words and numbers. Every token of key characters is scored,
+whatever its length and whatever stands before it. It is reported when the log-likelihood ratio of random over ordinary is above
+``MARGIN`` in total; else those of its parts between separators are that hold a stretch above ``MARGIN``. A pair of characters
+that a token has had before speaks for nothing, so runs and patterns that repeat are not random.
 """
 
 from __future__ import annotations
@@ -24,7 +26,8 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_LEAST = 8
 KINDS = ("assign", "access", "hex", "random")
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+PADDING = re.compile(r"={1,2}(?![A-Za-z0-9+/_=-])")
+SEPARATORS = "/_-"
 MARGIN = 12.0
 MASK = "[SECRET]"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-="
@@ -47,11 +50,40 @@ ththshanered onthering eaerlyones tionandesheinthe oresandthewhthe ingionedreatt
 section-three-introduction chapter-seven-conclusion how-to-install-and-configure-the-package frequently-asked-questions
 """.split()
 
+# More words of label 0, learnt in lower case, with a capital, and in capitals.
+PROSE = """
+because although people would never think about themselves without knowledge of history question language through between
+government different example children together important business company thousand against another morning evening yesterday
+strength rhythm eighth twelfth window yellow quickly quarter equal exactly expect extra maximum jump object project subject just
+water weather father mother brother under over after always number system program machine value table paper school student house
+meanwhile overwhelm everywhere somewhere somewhat nonwhite answer worthless disgusting pathetic street building country village mountain river ocean island bridge market kitchen garden bottle
+javascript postgresql youtube facebook wikipedia microsoft google android iphone linux windows kubernetes github readme todo json html
+ein eine einen einer nicht werden wurde zwischen durch schon immer wieder gegen natuerlich verschiedene moeglichkeit entwicklung zukunft
+geschichte gesellschaft wirtschaft wissenschaft schule strasse haus kinder jahre woche arbeit zeit ueber unter pfennig zwanzig zurueck
+zusammen zug zeitung bewegung beziehung freiheit wahrheit gesundheit einheit gelegenheit schwierigkeiten taetigkeit ausschuss fluss
+aufgabe ausgabe angst kampf kopf apfel pferd pflanze katze platz satz herz ganz jetzt nichts sprache sprechen schreiben schlafen
+toujours beaucoup pourquoi parce aujourd maintenant question quelque chaque lorsque puisque jusque heureux malheureusement mieux vieux
+deux yeux ceux eux lieux eaux oiseau bateau chateau beau nouveau roi loi moi toi trois voix choix froid endroit avoir savoir pouvoir
+vouloir devoir croire voiture famille fille travail soleil oeil oui louer jouer ailleurs faire maire affaire necessaire elle celle belle
+nouvelle ville mille question attention nation solution gouvernement mouvement appartement notre votre autre entre montre fenetre
+siempre nunca todavia porque cuando donde quien aunque mientras despues antes ahora entonces tambien mucho poco algunos algunas
+ciudad verdad libertad universidad trabajo hijo hija lejos mejor mujer bajo abajo caja hoja ojo rojo viejo llamar llegar llevar calle
+ella ellos aquella guerra tierra perro correr arriba luego juego fuego pueblo bueno nuevo huevo puerta fuerte muerte veces voz luz paz
+feliz vez diez cabeza corazon rodriguez gonzalez lopez martinez perez pasado estado mercado dado lado cuidado abogado amigo amiga
+""".split()
+
+
+def ordinary_samples() -> list[str]:
+    """Label 0 of the training samples: ``ORDINARY``, ``PROSE`` in three cases, and digits drawn evenly from a fixed seed, as in card numbers."""
+    rng = np.random.default_rng(12)
+    numbers = ["".join(rng.choice(list("0123456789"), size=16)) for _ in range(60)]
+    return [*ORDINARY, *numbers, *(form for word in PROSE for form in (word, word.capitalize(), word.upper())), ALPHABET[:26], ALPHABET[26:52]]
+
 
 def random_samples(count: int = 2000) -> list[str]:
     """Label 1 of the training samples: strings drawn evenly from the alphabets of keys, from a fixed seed."""
     rng = np.random.default_rng(11)
-    alphabets = ("0123456789abcdef", "0123456789ABCDEF", ALPHABET[:62], ALPHABET[:64], ALPHABET[26:62])
+    alphabets = ("0123456789abcdef", "0123456789ABCDEF", ALPHABET[:62], ALPHABET[:64], ALPHABET[26:62], ALPHABET[:62] + "_-")
     return ["".join(rng.choice(list(alphabets[i % len(alphabets)]), size=40)) for i in range(count)]
 
 
@@ -70,11 +102,14 @@ def train_model(samples: list[str], weight: float) -> np.ndarray:
 
 def ratio_table(random: list[str] | None = None, ordinary: list[str] | None = None) -> np.ndarray:
     """Log-likelihood ratio of each step, random over ordinary."""
-    return train_model(random or random_samples(), 8.0) - train_model(ordinary or ORDINARY, 2.0)
+    return train_model(random or random_samples(), 8.0) - train_model(ordinary or ordinary_samples(), 2.0)
 
 
 _PLACE = np.full(128, -1, dtype=np.int64)
 _PLACE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
+START = len(ALPHABET)
+_KEY_CODE = np.full(129, -1, dtype=np.int64)
+_KEY_CODE[:128] = np.where(np.arange(128) == ord("="), -1, _PLACE)
 
 
 def randomness(token: str, table: np.ndarray) -> float:
@@ -83,16 +118,76 @@ def randomness(token: str, table: np.ndarray) -> float:
     return float(table[np.append(len(ALPHABET), codes[:-1]), codes].sum())
 
 
+def _tokens(text: str, table: np.ndarray, margin: float) -> Iterator[tuple[int, int]]:
+    """The tokens that have a stretch above ``margin`` when repeated pairs count like others, all of them at once."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    codes = _KEY_CODE[np.minimum(points, 128)]
+    at = np.flatnonzero(codes >= 0)
+    if not len(at):
+        return
+    codes = codes[at]
+    first = np.append(True, np.diff(at) > 1)
+    steps = table[np.where(first, START, np.append(START, codes[:-1])), codes]
+    sums = np.cumsum(steps)
+    opened, token = table[START, codes] - sums, np.cumsum(first)
+    reach = np.ptp(opened) + 1  # lifts each token's values above all before it, so one running maximum serves all tokens
+    best = sums + np.maximum.accumulate(opened + token * reach) - token * reach
+    starts = np.flatnonzero(first)
+    ends = np.append(starts[1:], len(at)) - 1
+    for i in np.flatnonzero(np.maximum.reduceat(best, starts) > margin - 0.01):
+        yield int(at[starts[i]]), int(at[ends[i]]) + 1
+
+
+def _stretches(token: str, table: np.ndarray, margin: float) -> Iterator[tuple[int, int]]:
+    """Stretches whose ratio is above ``margin``, each up to its highest sum; it ends where the sum is used up or ``margin`` below that."""
+    codes = _PLACE[np.frombuffer(token.encode("ascii"), dtype=np.uint8)]
+    steps = table[np.append(START, codes[:-1]), codes]
+    pairs = np.append(-1, codes[:-1] * START + codes[1:])
+    again = np.ones(len(codes), dtype=bool)
+    again[np.unique(pairs, return_index=True)[1]] = False
+    steps, opening = np.where(again, np.minimum(steps, 0.0), steps).tolist(), table[START, codes].tolist()
+    i = begin = end = 0
+    total = top = 0.0
+    while i < len(steps):
+        if total > 0:
+            total += steps[i]
+        else:
+            total, begin, top = opening[i], i, 0.0
+        i += 1
+        if total > top:
+            top, end = total, i
+        if top > margin and (total <= max(0.0, top - margin) or i == len(steps)):
+            yield begin, end
+            i, total, top = end, 0.0, 0.0
+
+
+def random_parts(token: str, table: np.ndarray, margin: float = MARGIN) -> list[tuple[int, int]]:
+    """The token as a whole if all of it is above ``margin``, else its parts between separators that hold such a stretch."""
+    found: list[tuple[int, int]] = []
+    for begin, end in _stretches(token, table, margin):
+        if randomness(token, table) > margin:
+            return [(0, len(token))]
+        while begin and token[begin - 1] not in SEPARATORS:
+            begin -= 1
+        while end < len(token) and token[end] not in SEPARATORS:
+            end += 1
+        if found and begin <= found[-1][1]:
+            found[-1] = (found[-1][0], max(end, found[-1][1]))
+        else:
+            found.append((begin, end))
+    return found
+
+
 def find_spans(text: str | None, table: np.ndarray, margin: float = MARGIN) -> list[tuple[int, int, str]]:
     """``(start, end, kind)`` in code points, by start and then kind as listed."""
     text = text or ""
     spans = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= ASSIGN_LEAST]
     spans += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text)]
     spans += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
-    for m in CANDIDATE.finditer(text):
-        token = m[0]
-        if any(c.isdigit() for c in token) and any(c.isalpha() for c in token) and randomness(token, table) > margin:
-            spans.append((m.start(), m.end(), "random"))
+    for start, end in _tokens(text, table, margin):
+        for a, b in random_parts(text[start:end], table, margin):
+            padding = PADDING.match(text, end) if start + b == end else None
+            spans.append((start + a, padding.end() if padding else start + b, "random"))
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

@@ -224,6 +224,21 @@ def test_random_strings_are_told_from_identifiers():
     assert not any(secrets.randomness(t, table) > secrets.MARGIN for t in names)
 
 
+def test_random_strings_wherever_they_stand():
+    rng, table = np.random.default_rng(98), secrets.ratio_table()
+    key, short = ("".join(rng.choice(list(secrets.ALPHABET[:62]), size=n)) for n in (38, 16))
+    letters = "".join(rng.choice(list(secrets.ALPHABET[:52]), size=24))
+    for text in ("AccountKey={};x", "AWS_SECRET_ACCESS_KEY={}", "https://a.example/b?sig={}&se=2024", "key: {}", "é{}é", "a={}== b"):
+        for value in (key, short, letters):
+            found = secrets.find_spans(text.format(value), table)
+            assert [text.format(value)[a:b].rstrip("=") for a, b, k in found if k == "random"] == [value]
+    path = "usr/local/lib/python/site-packages/the_long_ordinary_name_of_a_variable/" * 3
+    masked = secrets.mask_spans(path + short + "/end", secrets.find_spans(path + short + "/end", table))
+    assert short not in masked and secrets.MASK in masked and masked.startswith(path[:150]) and masked.endswith("/end")
+    ordinary = "z" * 3000 + " getElementById JavaScript README 4556737586899855 Donaudampfschifffahrt x=-=-=-=-=-=-=-=-=-=- SELECT WhatsApp key=value&next=page"
+    assert secrets.find_spans(ordinary, table) == []
+
+
 def test_quality_on_held_out_rows(spark):
     sf = SMALL.replace("0.001", "0.01")
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
