@@ -25,14 +25,28 @@ SKIPPED = set("script style noscript template iframe object embed svg math canva
 RAW = set("script style noscript template iframe textarea title svg math select button object canvas audio video".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINERS = set("nav header footer aside form menu dialog div section article main ul ol dl table tbody tr td th blockquote figure details fieldset".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 BAD_TAGS = set("nav header footer aside form menu dialog fieldset".split())
+HARD_TAGS = set("nav footer aside menu dialog".split())
 GOOD_TAGS = {"article", "main"}
+# A name is a whole word of class, id, role or itemprop; has-sidebar or sticky-header say nothing of what the element holds.
+_AROUND = r"(?:(?:site|page|global|main|top|bottom|left|right|primary|secondary|post|article|entry|blog|social|js)[-_]+)?"
+_AFTER = r"(?:[-_]+(?:wrapper|wrap|container|box|list|area|section|block|bar|inner|outer|items?|links?|form|buttons?|icons?|panel|unit|slot|message|text|\d+))*"
 BAD_NAMES = re.compile(
-    r"(?<![a-z])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|notification|alert|popup|pop-up|modal|overlay|"
-    r"sidebar|side-bar|sidenav|nav\w*|menu\w*|breadcrumbs?|footer|header|masthead|topbar|toolbar|comments?|comment-\w+|disqus\w*|replies|reply|respond|"
+    _AROUND + r"(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|notification|alert|popup|pop-up|modal|overlay|"
+    r"sidebar|side-bar|sidenav|nav\w*|menu\w*|breadcrumbs?|footer|topbar|toolbar|comments?|comment-\w+|disqus\w*|replies|reply|respond|"
     r"social|share|sharing|related|recommend\w*|newsletter|subscribe|subscription|login|signup|widget|pagination|pager|skip-link|copyright|legal|"
-    r"contentinfo|navigation|complementary|search)(?![a-z])", re.I)
-GOOD_NAMES = re.compile(r"(?<![a-z])(?:article|articlebody|article-body|post-content|post-body|entry-content|story-body|main-content|content-body)(?![a-z])", re.I)
+    r"contentinfo|complementary|search)" + _AFTER, re.I)
+HEADER_NAMES = re.compile(r"(?:(?:site|global|main|top)[-_]+)?(?:header|masthead)" + _AFTER, re.I)
+HARD_NAMES = re.compile(
+    _AROUND + r"(?:sidebar|side-bar|sidenav|nav\w*|menu\w*|footer|comments?|comment-\w+|disqus\w*|replies|reply|respond|related|recommend\w*|complementary|contentinfo)"
+    + _AFTER, re.I)
+GOOD_NAMES = re.compile(r"article|articlebody|(?:article|post|entry|story)[-_]+(?:body|content)|main-content|content-body", re.I)
+# Elements that a start tag closes if they are open, up to the elements that bound the search.
+ENDS_P = set("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
+        "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"})}
+P_SCOPE = {"table", "td", "th"}
 
 MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/><]*)((?:[^'"<>]|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/><]*)([^<>]*)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -46,6 +60,8 @@ class Block:
     linked: int
     heading: bool
     place: int
+    form: int = 0
+    title: bool = False
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -53,16 +69,28 @@ def _attributes(source: str) -> dict[str, str]:
 
 
 def _place(tag: str, attributes: dict[str, str], outer: int) -> int:
-    """-1 in menus, footers and the like, 1 in an article, else 0. What is bad stays bad for all inside it."""
-    if outer < 0:
-        return outer
-    names = " ".join(attributes.get(k, "") for k in ("class", "id", "role", "itemprop"))
+    """Below 0 in menus, footers and the like, 1 in an article, else 0.
+
+    -2 stays for all inside it but a ``main``; -1 stays up to an article inside it, which the wrapper does not make worse. Ids of
+    headings, and of sections inside an article, name what the text is about and do not count.
+    """
     hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "")
-    if hidden or (tag in BAD_TAGS and not (tag == "header" and outer > 0)):
-        return -1
-    if tag in GOOD_TAGS or attributes.get("role") == "main" or GOOD_NAMES.search(names):
-        return -1 if BAD_NAMES.search(names) and not GOOD_NAMES.search(names) else 1
-    return -1 if names and BAD_NAMES.search(names) else outer
+    if hidden:
+        return -3
+    if outer == -3:
+        return outer
+    anchor = tag in HEADINGS or (tag == "section" and outer > 0)
+    names = " ".join(attributes.get(k, "") for k in ("class", "id", "role", "itemprop") if not (k == "id" and anchor)).split()
+    good = tag in GOOD_TAGS or attributes.get("role") == "main" or any(map(GOOD_NAMES.fullmatch, names))
+    hard = tag in HARD_TAGS or any(map(HARD_NAMES.fullmatch, names))
+    bad = any(map(BAD_NAMES.fullmatch, names)) or (outer <= 0 and any(map(HEADER_NAMES.fullmatch, names)))
+    if tag == "main" or (good and outer > -2 and not hard and not (bad and tag not in GOOD_TAGS and not any(map(GOOD_NAMES.fullmatch, names)))):
+        return 1
+    if hard:
+        return min(outer, -2)
+    if bad or (tag in BAD_TAGS and not (tag == "header" and outer > 0)):
+        return min(outer, -1)
+    return outer
 
 
 class _Reader:
@@ -73,7 +101,8 @@ class _Reader:
         self.parts: list[str] = []
         self.linked = 0
         self.links = 0
-        self.heading = False
+        self.heading = self.title = False
+        self.form = self.forms = 0
         self.open: list[tuple[str, int]] = []
 
     @property
@@ -83,7 +112,8 @@ class _Reader:
     def flush(self) -> None:
         words = "".join(self.parts).split()
         if words:
-            self.blocks.append(Block(" ".join(words), len(words), min(self.linked, len(words)), self.heading, self.place))
+            place = max(self.place, -1)
+            self.blocks.append(Block(" ".join(words), len(words), min(self.linked, len(words)), self.heading, place, 0 if place else self.form, self.title))
         self.parts, self.linked = [], 0
 
     def add(self, source: str) -> None:
@@ -93,6 +123,22 @@ class _Reader:
             if self.links:
                 self.linked += len(text.split())
 
+    def close(self, tags: set[str], scope: set[str]) -> None:
+        """End the open elements of ``tags``, with all inside them, that lie within the innermost element of ``scope``."""
+        depth = len(self.open)
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i][0] in tags:
+                depth = i
+            elif self.open[i][0] in scope:
+                break
+        if depth < len(self.open):
+            self.cut(depth)
+
+    def cut(self, depth: int) -> None:
+        if any(tag == "form" for tag, _ in self.open[depth:]):
+            self.form = 0
+        del self.open[depth:]
+
     def start(self, tag: str, source: str) -> None:
         if tag == "a":
             self.links = 1
@@ -101,23 +147,40 @@ class _Reader:
         elif tag not in INLINE:
             self.flush()
             self.links = 0
-            self.heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
+            self.heading, self.title = tag in HEADINGS, tag == "h1"
+            if tag in ENDS_P:
+                self.close({"p"}, P_SCOPE)
+            if tag in ENDS:
+                self.close(*ENDS[tag])
         named = source and tag not in VOID and any(k in source.lower() for k in ("class", "id", "role", "hidden", "style", "itemprop"))
         if tag in CONTAINERS or (named and tag not in INLINE and tag not in ("html", "body")):
             if not source.rstrip().endswith("/"):
-                self.open.append((tag, _place(tag, _attributes(source) if source else {}, self.place)))
+                place = _place(tag, _attributes(source) if source else {}, self.place)
+                if tag == "form" and self.place == 0 and place == -1:
+                    self.forms, place = self.forms + 1, 0
+                    self.form = self.forms
+                self.open.append((tag, place))
 
     def end(self, tag: str) -> None:
         if tag == "a":
             self.links = 0
         elif tag not in INLINE:
             self.flush()
-            self.heading = False
+            self.heading = self.title = False
             for i in range(len(self.open) - 1, -1, -1):
                 if self.open[i][0] == tag:
-                    del self.open[i:]
+                    self.cut(i)
                     break
 
+    def settle_forms(self) -> None:
+        """A form outside articles is a page's wrapper if it holds a first heading or most of the words, else its blocks are bad."""
+        total = sum(b.words for b in self.blocks if b.place >= 0)
+        for form in range(1, self.forms + 1):
+            held = [b for b in self.blocks if b.form == form]
+            if 2 * sum(b.words for b in held) <= total and not any(b.title for b in held):
+                for block in held:
+                    block.place = -1
+
 
 def read_blocks(page: str | None) -> list[Block]:
     """The text blocks of a page, in page order. Inline elements and line breaks do not end a block; a cut-off page is read as far as it goes."""
@@ -142,6 +205,7 @@ def read_blocks(page: str | None) -> list[Block]:
         elif tag:
             reader.start(tag, source)
     reader.flush()
+    reader.settle_forms()
     return reader.blocks
 
 
@@ -172,6 +236,10 @@ LABELLED = """
 45 1 - n 1; 60 0 - n 1
 12 0 h n 1; 150 2 - n 1; 26 0 - n 1
 2 2 - n 0; 80 0 - n 1; 35 0 - n 1; 9 8 - n 0
+8 0 h n 1; 100 7 - n 1; 80 0 - n 1; 60 6 - n 1; 45 5 - n 1; 110 14 - n 1; 6 6 - n 0; 30 28 - n 0
+4 4 - n 0; 10 0 h n 1; 100 7 - n 1; 35 4 - n 1; 70 14 - n 1; 9 9 - n 0; 40 36 - n 0; 25 20 - n 0
+3 3 - n 0; 5 0 h n 1; 90 22 - n 1; 120 30 - n 1; 40 9 - n 1; 60 50 - n 0; 14 11 - n 0; 12 8 - n 0
+50 5 - n 1; 25 2 - n 1; 100 25 - n 1; 100 7 - n 1; 7 5 - n 0; 8 8 - n 0; 20 14 - n 0
 16 0 - n 1; 20 0 - n 1; 300 0 - n 1; 9 9 - a 1; 12 12 - a 1; 50 0 - a 1; 3 3 - b 0; 2 0 - n 0; 2 2 - n 0
 """
 

@@ -25,6 +25,24 @@ def test_main_text(page, text):
     assert found == (page if text is None else text)
 
 
+LONG = "many ordinary words stand here in a row and make a sentence of some length " * 4 + "and end."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div class='content has-sidebar'><h1>Title here</h1><p>{LONG}</div>", f"Title here\n{LONG}"),
+    (f"<div class='sticky-header'><article><p>Short.</p><p>{LONG}</p></article></div>", f"Short.\n{LONG}"),
+    (f"<body><form id=aspnetForm><div><h1>Title here</h1><p>{LONG}</p><p>{LONG}</p></div></form>", f"Title here\n{LONG}\n{LONG}"),
+    (f"<p>{LONG}</p><p>{LONG}</p><form><p>{LONG}</p></form>", f"{LONG}\n{LONG}"),
+    (f"<article><h2 id='legal-background'>Law</h2><p>{LONG}</p><h2 id=related>More</h2><section id=search><p>Short.</p></section></article>", f"Law\n{LONG}\nMore\nShort."),
+    (f"<div class=widget><main><p>Short.</p></main></div><aside><article><p>{LONG}</p></article></aside><div class=comments><article><p>{LONG}</p></article></div>", "Short."),
+    ("<article><p class=share>tell your friends<p>Kept.<ul><li class=ad>buy<li>Item.</ul><table><tr><td class=ad>buy<td>Cell.<tr><td>Next.</table></article>", "Kept.\nItem.\nCell.\nNext."),
+    (f"<p>{'word ' * 93}<a href=x>with seven words that are a link</a></p><p>{LONG}</p>", f"{'word ' * 93}with seven words that are a link\n{LONG}"),
+    (f"<p>{LONG}</p><div class='site-footer'><p>{LONG}</p></div><div class=ad-box><p>{LONG}</p></div>", LONG),
+])
+def test_wrappers_and_links(page, text):
+    assert html_text.main_text(page, TREE) == text
+
+
 def test_tree_fits_its_table():
     x, y = html_text.labelled_table()
     assert (html_text.classify(TREE, x) == y).mean() > 0.95
