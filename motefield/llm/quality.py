@@ -77,26 +77,44 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
 
 
 def _parts(data: bytes) -> Iterator[bytes]:
-    """A text in parts of bounded size, cut after a space where there is one. A cut falls between tokens, none is lost."""
+    """A text in parts of bounded size, cut after a space where there is one, else at an edge of a token: a token of any length stays whole."""
     at = 0
     while at < len(data):
         end = min(at + PART_BYTES, len(data))
         if end < len(data):
             cut = data.rfind(b" ", at, end)
-            end = cut + 1 if cut > at else end
+            end = cut + 1 if cut > at else _token_edge(data, at, end)
         yield data[at:end]
         at = end
 
 
-def _add_contexts(total: np.ndarray, data: bytes, places: np.ndarray, signs: np.ndarray) -> None:
-    for part in _parts(data):
-        tokens = token_buckets(part)
-        for step in range(1, REACH + 1):
-            for here, there in ((tokens[step:], tokens[:-step]), (tokens[:-step], tokens[step:])):
-                for k in range(NONZERO):
-                    cell = here * DIMS + places[there, k]
-                    sign = signs[there, k] > 0
-                    total += np.bincount(cell[sign], minlength=len(total)) - np.bincount(cell[~sign], minlength=len(total))
+def _token_edge(data: bytes, at: int, end: int) -> int:
+    """The last edge between kinds of bytes after ``at`` and up to ``end``, else the first after it, else the end of the text."""
+    kinds = _KINDS[np.frombuffer(data, dtype=np.uint8, count=end + 1 - at, offset=at)]
+    edges = np.flatnonzero(kinds[1:] != kinds[:-1])
+    if len(edges):
+        return at + int(edges[-1]) + 1
+    while end < len(data):
+        kinds = _KINDS[np.frombuffer(data, dtype=np.uint8, count=min(PART_BYTES, len(data) - end) + 1, offset=end - 1)]
+        edges = np.flatnonzero(kinds[1:] != kinds[:-1])
+        if len(edges):
+            return end + int(edges[0])
+        end += len(kinds) - 1
+    return end
+
+
+def _add_contexts(total: np.ndarray, tokens: np.ndarray, counted: int, places: np.ndarray, signs: np.ndarray) -> None:
+    """Add the pairs of ``tokens`` whose later end is not among the first ``counted``; a token below 0 is no word and has no context."""
+    for step in range(1, REACH + 1):
+        first = max(counted - step, 0)
+        late, early = tokens[first + step:], tokens[first:max(len(tokens) - step, first)]
+        both = (late >= 0) & (early >= 0)
+        late, early = late[both], early[both]
+        for here, there in ((late, early), (early, late)):
+            for k in range(NONZERO):
+                cell = here * DIMS + places[there, k]
+                sign = signs[there, k] > 0
+                total += np.bincount(cell[sign], minlength=len(total)) - np.bincount(cell[~sign], minlength=len(total))
 
 
 def context_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -104,16 +122,19 @@ def context_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, signs = index_vectors()
-        total, held = np.zeros(BUCKETS * DIMS, dtype=np.int64), bytearray()
-        for batch in batches:
-            for text in batch.column(0):
-                # documents are counted together in larger arrays, with a gap of spaces that no context reaches over
-                if text.is_valid:
-                    held += text.as_py().encode("utf-8", "replace") + b" \x00" * REACH + b" "
-                if len(held) >= PART_BYTES:
-                    _add_contexts(total, bytes(held), places, signs)
-                    held.clear()
-        _add_contexts(total, bytes(held), places, signs)
+        total, gap = np.zeros(BUCKETS * DIMS, dtype=np.int64), np.full(REACH, -1, dtype=np.int64)
+        held, size, counted = [], 0, 0
+        for part in (part for batch in batches for text in batch.column(0) if text.is_valid
+                     for part in (*_parts(text.as_py().encode("utf-8", "replace")), None)):
+            # parts are counted together in larger arrays; documents have a gap between them that no context reaches over
+            held.append(gap if part is None else token_buckets(part))
+            size += len(part or b"")
+            if size >= PART_BYTES:
+                tokens = np.concatenate(held)
+                _add_contexts(total, tokens, counted, places, signs)
+                held, size, counted = [tokens[-REACH:]], 0, min(REACH, len(tokens))
+        if held:
+            _add_contexts(total, np.concatenate(held), counted, places, signs)
         rows = total.reshape(BUCKETS, DIMS)
         used = np.flatnonzero(rows.any(axis=1))
         for at in range(0, len(used), 1024):
@@ -132,15 +153,20 @@ def pool(text: str | None, vectors: np.ndarray) -> np.ndarray:
     """Mean and standard deviation of a text's token vectors, and for tokens one and two places apart the mean
     inner product and the share of equal ones; zeros for a text without tokens."""
     first, second, agree, n = np.zeros(DIMS), np.zeros(DIMS), np.zeros(2 * REACH), 0
+    before = np.empty(0, dtype=np.int64)
     for part in _parts((text or "").encode("utf-8", "replace")):
-        tokens = token_buckets(part)
-        rows = vectors[tokens]
-        first += rows.sum(axis=0, dtype=np.float64)
-        second += np.einsum("ij,ij->j", rows, rows, dtype=np.float64)
+        own = token_buckets(part)
+        tokens = np.concatenate([before, own])
+        rows, known = vectors[tokens], len(before)
+        first += rows[known:].sum(axis=0, dtype=np.float64)
+        second += np.einsum("ij,ij->j", rows[known:], rows[known:], dtype=np.float64)
         for lag in range(1, REACH + 1):
-            agree[2 * lag - 2] += np.einsum("ij,ij->", rows[lag:], rows[:-lag], dtype=np.float64)
-            agree[2 * lag - 1] += np.count_nonzero(tokens[lag:] == tokens[:-lag])
-        n += len(rows)
+            a = max(known - lag, 0)
+            b = max(len(tokens) - lag, a)
+            agree[2 * lag - 2] += np.einsum("ij,ij->", rows[a + lag:], rows[a:b], dtype=np.float64)
+            agree[2 * lag - 1] += np.count_nonzero(tokens[a + lag:] == tokens[a:b])
+        n += len(own)
+        before = tokens[-REACH:]
     if not n:
         return np.zeros(FEATURES)
     mean = first / n

@@ -262,6 +262,33 @@ def test_long_texts_lose_no_token():
     assert (np.concatenate([quality.token_buckets(p) for p in quality._parts(data)]) == whole).all()
 
 
+def test_cuts_between_parts_change_nothing(spark, monkeypatch):
+    texts = ["one two, three&&&four five " * 30, "a" * 90 + "," * 80 + "b c" + "d" * 70, "x", None, "", "é,ü;" * 60, "z" * 300]
+    data = [(t or "").encode() for t in texts]
+    places, signs = quality.index_vectors()
+    total = np.zeros((quality.BUCKETS, quality.DIMS))
+    for tokens in map(quality.token_buckets, data):
+        for i, here in enumerate(tokens):
+            for there in (*tokens[max(i - quality.REACH, 0):i], *tokens[i + 1:i + 1 + quality.REACH]):
+                total[here, places[there]] += signs[there]
+    expected = total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    whole = [quality.pool(t, expected) for t in texts]
+    for size, tasks in ((2_000_000, 1), (2_000_000, 5), (64, 1)):
+        monkeypatch.setattr(quality, "PART_BYTES", size)
+        assert all((np.concatenate([quality.token_buckets(b""), *map(quality.token_buckets, quality._parts(d))]) == quality.token_buckets(d)).all() for d in data)
+        assert all(np.allclose(quality.pool(t, expected), w) for t, w in zip(texts, whole, strict=True))
+        if size > 64:  # parts of another size do not reach the workers
+            assert np.allclose(quality.context_vectors(docs.repartition(tasks)), expected, atol=1e-6)
+    total, tokens = np.zeros(quality.BUCKETS * quality.DIMS, dtype=np.int64), quality.token_buckets(data[0])
+    quality._add_contexts(total, tokens[:50], 0, places, signs)
+    quality._add_contexts(total, tokens[48:51], 2, places, signs)
+    quality._add_contexts(total, tokens[49:], 2, places, signs)
+    once = np.zeros_like(total)
+    quality._add_contexts(once, tokens, 0, places, signs)
+    assert (total == once).all() and once.any()
+
+
 def test_empty_tables(empty, work):
     for frame in (exact_dedup.exact_duplicates(empty, work), near_dedup.near_duplicates(empty, work), packing.pack(empty, WORDS, work),
                   secrets.scan(empty), byte_bpe.encode_documents(empty, RANKS, public_tokenizers.PATTERN),
