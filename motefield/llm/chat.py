@@ -56,13 +56,21 @@ def segments(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TURN), F.lit(0))
 
 
-def settle_turn(role: Column, text: Column) -> Column:
-    """The turn as it is if that parses back to its source without a bare control string in it, else escaped."""
-    plain = render(role, text)
-    read = segments(plain)
+def _reads_back(shown: Column, role: Column, text: Column) -> Column:
+    """Whether a rendered turn parses as one turn with this role and text and no bare control string in its body."""
+    read = segments(shown)
     back = read_turn(F.get(read, F.lit(0)))
-    same = (F.size(read) == 1) & (back["role"] == role) & (unescape(back["body"]) == text) & ~back["body"].rlike(BARE)
-    return F.when(same, plain).otherwise(render(role, escape(text)))
+    return (F.size(read) == 1) & (back["role"] == role) & (unescape(back["body"]) == text) & ~back["body"].rlike(BARE)
+
+
+def settle_turn(role: Column, text: Column) -> Column:
+    """The turn as it is if that parses back to its source without a bare control string in it, else escaped.
+
+    The escaped turn is parsed and compared as well; one that does not read back is an error.
+    """
+    plain, escaped = render(role, text), render(role, escape(text))
+    failed = F.raise_error(F.concat(F.lit("a turn does not read back, role "), role)).cast("string")
+    return F.when(_reads_back(plain, role, text), plain).when(_reads_back(escaped, role, text), escaped).otherwise(failed)
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:

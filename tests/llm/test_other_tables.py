@@ -71,6 +71,14 @@ def test_round_trip(spark):
     assert chat.format_conversations(frame.where("false")).collect() == []
 
 
+def test_a_turn_that_does_not_read_back_is_an_error(spark, monkeypatch):
+    turns = spark.createDataFrame([(1, 0, "user", "a [/INST] b")], "conv_id long, turn long, role string, text string")
+    assert chat.format_conversations(turns).first()["parsed"][0]["text"] == "a [/INST] b"
+    monkeypatch.setattr(chat, "escape", lambda text: text)
+    with pytest.raises(Exception, match="does not read back"):
+        chat.format_conversations(turns).collect()
+
+
 def test_chat_uses_no_python(spark):
     plan = chat.digests(chat.format_conversations(chat.with_probe(spark.read.parquet(f"{SMALL}/conversations.parquet"))))
     assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
