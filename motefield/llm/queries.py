@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, chat, exact_dedup, html_text, near_dedup, nearest, packing, quality, secrets, token_counts
+from . import alignment, byte_bpe, chat, divergence, exact_dedup, html_text, near_dedup, nearest, packing, quality, secrets, token_counts, warc
 from .shipping import ship_package
 from .workspace import Workspace
 
@@ -63,9 +63,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"), Workspace(spark, "exact-dedup"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return alignment.align_corpus(docs, _bytes("byte_bpe_50k.json").decode(), _bytes("piece_bpe_32k.model"), Workspace(spark, "alignment"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), Workspace(spark, "divergence"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(_table(spark, sf_dir, "pages"), Workspace(spark, "warc"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     run.__name__: run for run in (
         op1_html_extraction, op2_chat_formatting, op3_quality_classifier, op4_secret_scans, op5_byte_bpe, op6_simhash_near_dedup,
-        op7_packing, op8_nearest_neighbours, op9_token_counts, op10_exact_dedup)
+        op7_packing, op8_nearest_neighbours, op9_token_counts, op10_exact_dedup,
+        op11_cross_tokenizer_alignment, op12_source_divergence, op13_warc)
 }
-ORACLES: dict[str, str] = {"op2_chat_formatting": chat.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op2_chat_formatting": chat.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL,
+                           "op12_source_divergence": divergence.ORACLE_SQL, "op13_warc": warc.ORACLE_SQL}

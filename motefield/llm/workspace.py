@@ -23,9 +23,9 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def settle(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a table once and go on from what was written."""
-        df.write.parquet(self.path(name))
+    def settle(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+        """Write a table once, with options of the Parquet writer, and go on from what was written."""
+        df.write.options(**options).parquet(self.path(name))
         return self.read(name, df)
 
     def read(self, name: str, like: DataFrame) -> DataFrame:
