@@ -13,6 +13,7 @@ from ..functions.numbers import count_if, floor_at, ratio, round_to
 from ..functions.rules import device_status, health_status, outside
 from ..functions.timing import as_ts, boundary_diff, trunc
 from ..schemas import CLUSTER_METADATA, SENSORS, columns
+from .ordered import rolling
 from .validation import FLAGS, threshold_bounds
 
 EXPECTED_PER_DAY = 288  # one reading every five minutes
@@ -54,14 +55,26 @@ def abs_zscore_over(k: float) -> Column:
     return F.abs(F.col("temperature_zscore")) > k
 
 
-def device_health(enriched: DataFrame, expected: int = EXPECTED_PER_DAY) -> DataFrame:
-    """Per device and day: battery, uptime, alerts, status. Of readings at one time the id decides which is first and last."""
-    moment = F.struct("reading_ts", "reading_id")
-    daily = enriched.groupBy("device_id", F.to_date("reading_ts").alias("report_date")).agg(
+def device_health(enriched: DataFrame, expected: int = EXPECTED_PER_DAY, **split) -> DataFrame:
+    """Per device and day: battery, uptime, alerts, status. Of readings at one time the id decides which is first and last.
+
+    The first and the last reading of a day are marked in the order of the device, which rolling scores have already made, so what
+    follows is a hash aggregate. ``split`` are the arguments of :func:`ordered.rolling`.
+    """
+    day = F.to_date("reading_ts")
+
+    def changes(other: Column) -> Column:
+        return other.isNull() | ~other["day"].eqNullSafe(day)
+
+    marked = rolling(
+        enriched.select("device_id", "reading_ts", "reading_id", "battery_pct", "temperature_zscore"), ["device_id"], "reading_ts", ["reading_id"], 1,
+        {"_opens": lambda w: changes(F.lag(F.struct(day.alias("day"))).over(w)), "_closes": lambda w: changes(F.lead(F.struct(day.alias("day"))).over(w))},
+        ahead=1, **split)
+    daily = marked.groupBy("device_id", day.alias("report_date")).agg(
         F.avg("battery_pct").alias("avg_battery_pct"),
         F.min("battery_pct").alias("min_battery_pct"),
         F.max("battery_pct").alias("max_battery_pct"),
-        (F.max_by("battery_pct", moment) - F.min_by("battery_pct", moment)).alias("_drained"),
+        (F.max(F.when(F.col("_closes"), F.col("battery_pct"))) - F.max(F.when(F.col("_opens"), F.col("battery_pct")))).alias("_drained"),
         boundary_diff("hour", F.min("reading_ts"), F.max("reading_ts")).alias("_hours"),
         F.count(F.lit(1)).alias("readings_received"),
         count_if(F.col("battery_pct") < 15).alias("_low_battery"),

@@ -1,30 +1,25 @@
 """Ordered windows that do not put a whole key into one task.
 
-A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task. When one key holds a large share
-of the data that task never ends, and AQE does not split windows. Here such *hot* keys are cut along the
-order axis into slices of about ``rows_per_slice`` rows, each slice is its own window partition, and the
-few rows at slice borders, whose frame reaches back into earlier slices, are computed again over the border
-rows alone. The result is the same as the plain window for every input; slicing only decides who does the work.
-
-Whether there are hot keys is found by a small job when the plan is built, as range partitioning does for
-its bounds: a scan of the key column with map-side counting. Without hot keys the plan is the plain window. Hot keys are cut evenly between their smallest and largest order value; a slice that is still too full,
-as after a burst, is cut again the same way, by the next order column if all its rows share the first one.
-
-All that is collected and broadcast is bounded by construction: a key is hot only if it owns more than
-``1 / MAX_HOT_KEYS`` of all rows, and a slice is cut again only if it holds more than two such shares.
+A plain ``Window.partitionBy(key)`` sorts all rows of a key in one task. When one key holds a large share of the data that
+task never ends, and AQE does not split windows. Here such keys are cut along the order into slices of about
+``rows_per_slice`` rows. Each slice is its own window partition, and the few rows at its ends, whose frames reach into the
+slices beside it, are computed again over the rows at the ends alone. The result is that of the plain window for every input.
+
+Where to cut follows from the rows alone: a hash of its place in the order draws a row, and every ``SAMPLES``-th drawn row of a key
+starts a slice. So the cuts are a relation like any other, joined to the rows; places are compared as they are, whatever their types,
+and both uses of a sliced frame see the same slices without relying on a reused shuffle. A key below about
+``rows_per_slice`` rows gets no cut, and without any cut the plan is the plain window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 10_000
 ROWS_PER_SLICE = 5_000_000
-ID_CHARS = 48
+SAMPLES = 16
 
 
 def _same(names: Sequence[str], prefix: str) -> Column:
@@ -38,97 +33,45 @@ def _prefixed(names: Sequence[str], prefix: str) -> list[Column]:
     return [F.col(n).alias(f"{prefix}{n}") for n in names]
 
 
-class HotKeys:
-    """Finds hot keys of ``profile`` and cuts the rows of another frame accordingly.
+def _place(order: Sequence[str]) -> Column:
+    """The place of a row in ``ORDER BY ... NULLS LAST`` as one value that compares like it."""
+    return F.struct(*[c for i, n in enumerate(order) for c in (F.col(n).isNull().alias(f"n{i}"), F.col(n).alias(f"v{i}"))])
 
-    ``axes`` are numbers that order the rows, most significant first. ``profile`` only steers the cut, so it may
-    be any cheap frame with about the same distribution, for instance the input of an expensive plan instead
-    of its output.
-    """
-
-    def __init__(self, profile: DataFrame, keys: Sequence[str], axes: Sequence[Column],
-                 rows_per_slice: int = ROWS_PER_SLICE):
-        self.keys = list(keys)
-        self.axes = [a.cast("double") for a in axes]
-        total = profile.select(F.count(F.lit(1))).scalar()
-        self.share = F.greatest(F.lit(rows_per_slice).cast("double"), total / F.lit(MAX_HOT_KEYS))
-        self.levels: list[DataFrame] = []
-        counted = profile.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > self.share)
-        heavy = counted.select(*_prefixed(self.keys, "_h_"))
-        names = heavy.collect()  # at most MAX_HOT_KEYS rows
-        if not names:
-            return
-        listed = F.broadcast(profile.sparkSession.createDataFrame(names, heavy.schema))
-        heavy_rows = profile.join(listed, _same(self.keys, "_h_"), "left_semi")
-        rows = self._start(heavy_rows.select(*self.keys, *self._axis_columns()))
-        for level in count():  # every level cuts a full cell at least in two, so this ends
-            cells = self._full_cells(rows, 2 if level else 1)
-            found = cells.collect()  # at most MAX_HOT_KEYS rows
-            if not found:
-                break
-            self.levels.append(profile.sparkSession.createDataFrame(found, cells.schema))
-            rows = self._cut(rows, self.levels[-1], "left" if level else "inner")
-
-    @property
-    def exist(self) -> bool:
-        return bool(self.levels)
-
-    def _axis_columns(self) -> list[Column]:
-        return [a.alias(f"_v{i}") for i, a in enumerate(self.axes)]
-
-    def _start(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("_slice", F.array().cast("array<bigint>"))
-
-    def _full_cells(self, rows: DataFrame, shares: int) -> DataFrame:
-        """Cells with too many rows and the axis that can cut them: the first one with different values."""
-        numbers = range(len(self.axes))
-        bounds = [f(f"_v{i}").alias(f"_{n}{i}") for i in numbers for n, f in (("lo", F.min), ("hi", F.max))]
-        cells = rows.groupBy(*self.keys, "_slice").agg(F.count(F.lit(1)).alias("_n"), *bounds)
-        axis = F.coalesce(*[F.when(F.col(f"_hi{i}") > F.col(f"_lo{i}"), i) for i in numbers])
-        full = cells.filter(F.col("_n") > shares * self.share).withColumn("_axis", axis).filter("_axis IS NOT NULL")
-        low = F.element_at(F.array(*[F.col(f"_lo{i}") for i in numbers]), F.col("_axis") + 1)
-        high = F.element_at(F.array(*[F.col(f"_hi{i}") for i in numbers]), F.col("_axis") + 1)
-        return full.select(
-            *_prefixed(self.keys, "_h_"), F.col("_slice").alias("_h_slice"), "_axis", low.alias("_low"),
-            ((high - low) * (self.share / F.col("_n"))).alias("_width"),
-        )
-
-    def _cut(self, rows: DataFrame, level: DataFrame, how: str) -> DataFrame:
-        on = _same(self.keys, "_h_") & (F.col("_slice") == F.col("_h_slice"))
-        joined = rows.join(F.broadcast(level), on, how)
-        value = F.element_at(F.array(*[F.col(f"_v{i}") for i in range(len(self.axes))]), F.col("_axis") + 1)
-        # rows outside the profiled range only lengthen the first or last slice
-        step = F.greatest(F.lit(-1.0), F.least((value - F.col("_low")) / F.col("_width"), F.lit(1e9)))
-        slot = F.when(F.col("_width") > 0, F.floor(step)).otherwise(F.lit(0))
-        out = joined.withColumn("_slice", F.concat("_slice", F.array(F.coalesce(slot, F.lit(0)).cast("long"))))
-        return out.drop("_h_slice", "_axis", "_low", "_width", *[f"_h_{k}" for k in self.keys])
-
-    def cold(self, df: DataFrame) -> DataFrame:
-        hot = self.levels[0].drop("_h_slice", "_axis", "_low", "_width")
-        return df.join(F.broadcast(hot), _same(self.keys, "_h_"), "left_anti")
 
-    def sliced(self, df: DataFrame) -> DataFrame:
-        """Rows of hot keys with ``_slice``, which grows with the order of the rows."""
-        rows = self._start(df.withColumns({f"_v{i}": a for i, a in enumerate(self.axes)}))
-        for number, level in enumerate(self.levels):
-            rows = self._cut(rows, level, "left" if number else "inner")
-        return rows.drop(*[f"_v{i}" for i in range(len(self.axes))])
+def _bounds_up_to(bounds: Column, place: Column) -> Column:
+    """How many of the sorted ``bounds`` are at or before ``place``, by halving."""
 
+    def halve(state: Column, _: Column) -> Column:
+        low, high = state["low"], state["high"]
+        middle = F.shiftright(low + high, 1)
+        nearer = F.when(F.element_at(bounds, middle + 1) <= place, F.struct((middle + 1).alias("low"), high.alias("high"))).otherwise(
+            F.struct(low.alias("low"), middle.alias("high")))
+        return F.when(low < high, nearer).otherwise(state)
 
-def _text_number(text: Column, start: int) -> Column:
-    """Six bytes of a text from ``start`` on as a number, which sorts like the text if all before is equal."""
-    digits = F.rpad(F.hex(F.substring(F.encode(text, "utf-8"), start, 6)), 12, "0")
-    return F.conv(digits, 16, 10).cast("double")
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(bounds) + F.lit(1))).cast("int"))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high")), halve)["low"]
 
 
-def time_axes(ts: str, ties: Sequence[str] = ()) -> list[Column]:
-    """Axes of ``ORDER BY ts NULLS LAST, ties``; only a text tie can cut rows of equal time.
+class Slices:
+    """Cuts for the keys of ``profile`` that have many rows, and other frames cut accordingly.
 
-    The first ``ID_CHARS`` bytes of the tie are axes of six bytes each, so ids may have a long common beginning.
+    ``profile`` only steers the cuts, so it may be any cheap frame with about the same distribution, for instance the input of an
+    expensive plan instead of its output. ``bounds`` has a row per key that is cut, about one bound per ``rows_per_slice`` rows.
     """
-    axes = [F.col(ts).isNull().cast("int"), F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(0))]
-    return axes + [F.coalesce(_text_number(F.col(t).cast("string"), at), F.lit(float(1 << 48)))
-                   for t in ties[:1] for at in range(1, ID_CHARS, 6)]
+
+    def __init__(self, profile: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE):
+        self.keys, self.order = list(keys), list(order)
+        samples = max(min(SAMPLES, rows_per_slice), 1)
+        drawn = profile.filter(F.pmod(F.xxhash64(*self.order), F.lit(max(rows_per_slice // samples, 1))) == 0)
+        places = drawn.groupBy(*_prefixed(self.keys, "_h_")).agg(F.array_sort(F.collect_set(_place(self.order))).alias("_places"))
+        starts = F.filter("_places", lambda _, i: (i + 1) % samples == 0)
+        self.bounds = places.select(*[f"_h_{k}" for k in self.keys], starts.alias("_bounds")).filter(F.size("_bounds") > 0)
+
+    def sliced(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``_slice``, which grows with the order of the rows of a key, and its largest value ``_slices``."""
+        cut = df.join(self.bounds, _same(self.keys, "_h_"), "left")
+        number = F.when(F.col("_bounds").isNull(), 0).otherwise(_bounds_up_to(F.col("_bounds"), _place(self.order)))
+        return cut.select(*df.columns, number.alias("_slice"), F.coalesce(F.size("_bounds"), F.lit(0)).alias("_slices"))
 
 
 def rolling(
@@ -140,54 +83,47 @@ def rolling(
     outputs: dict[str, Callable[[WindowSpec], Column]],
     rows_per_slice: int = ROWS_PER_SLICE,
     profile: DataFrame | None = None,
+    ahead: int = 0,
 ) -> DataFrame:
-    """Add window columns that look at the current row and at most ``back`` rows before it, per key by time.
+    """Add window columns that look at the current row, at most ``back`` rows before and ``ahead`` rows after it, per key by time.
 
-    Each output is a function of the ordered window (``lag``) or of a row frame taken from it. The first tie
-    column should be text, for instance an id.
+    Each output is a function of the ordered window (``lag``, ``lead``) or of a row frame taken from it. One look at ``profile`` tells
+    whether any key is cut; nothing of it comes to the driver.
     """
     order = [F.col(c).asc_nulls_last() for c in (ts, *ties)]
     whole = Window.partitionBy(*keys).orderBy(*order)
-    hot = HotKeys(profile if profile is not None else df, keys, time_axes(ts, ties), rows_per_slice)
-    if not hot.exist:
+    slices = Slices(profile if profile is not None else df, keys, (ts, *ties), rows_per_slice)
+    if slices.bounds.isEmpty():
         return df.withColumns({name: make(whole) for name, make in outputs.items()})
 
-    cold_rows = hot.cold(df).withColumns({name: make(whole) for name, make in outputs.items()})
-
-    part = Window.partitionBy(*keys, "_slice")
-    sliced = hot.sliced(df).withColumns(
+    part = Window.partitionBy(*keys, "_slice", "_slices")
+    cut = slices.sliced(df).withColumns(
         {name: make(part.orderBy(*order)) for name, make in outputs.items()}
-        | {
-            "_pos": F.row_number().over(part.orderBy(*order)),
-            "_size": F.count(F.lit(1)).over(part),
-        }
-    )
-    inner = sliced.filter(F.col("_pos") > back)
-    border = (
-        sliced.filter((F.col("_pos") <= back) | (F.col("_pos") > F.col("_size") - back))
-        .drop(*outputs)
-        .withColumns({name: make(whole) for name, make in outputs.items()})
-        .filter(F.col("_pos") <= back)
-    )
+        | {"_pos": F.row_number().over(part.orderBy(*order)), "_size": F.count(F.lit(1)).over(part)})
+    first, last = F.col("_slice") == 0, F.col("_slice") == F.col("_slices")
+    right = (first | (F.col("_pos") > back)) & (last | (F.col("_pos") <= F.col("_size") - ahead))
+    reach = back + ahead
+    near = (~first & (F.col("_pos") <= reach)) | (~last & (F.col("_pos") > F.col("_size") - reach))
+    ends = cut.filter(F.col("_slices") > 0).filter(near).withColumn("_again", ~right).drop(*outputs)
+    again = ends.withColumns({name: make(whole) for name, make in outputs.items()}).filter("_again")
     names = [*df.columns, *outputs]
-    return cold_rows.select(names).union(inner.select(names)).union(border.select(names))
+    return cut.filter(right).select(names).union(again.select(names))
 
 
-def rank_in(df: DataFrame, group: Sequence[str], metric: str, name: str = "rank") -> DataFrame:
+def rank_in(df: DataFrame, group: Sequence[str], metric: str, name: str = "rank", rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """``rank()`` of ``metric`` within a group, highest first, NULL on top.
 
-    Rows are counted per value first, so ties cost nothing. The values are dealt by ranges of group and metric; a value's rank is
-    one more than the rows above it in its range and those of the group's ranges before. No task holds a group.
+    Rows are counted per value first, so ties cost nothing. A group with very many values is cut into slices of them; a value's rank
+    is one more than the rows above it in its slice and those of the group's slices above. No task holds such a group.
     """
-    order = F.col(metric).desc_nulls_first()
     counts = df.groupBy(*group, metric).agg(F.count(F.lit(1)).alias("_n"))
-    parts = counts.repartitionByRange(*group, order).withColumn("_part", F.spark_partition_id())
-    above = Window.partitionBy(*group, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    whole = parts.groupBy(*group, "_part").agg(F.sum("_n").alias("_whole"))
-    offsets = whole.select(*_prefixed(group, "_o_"), F.col("_part").alias("_o_part"), F.coalesce(F.sum("_whole").over(earlier), F.lit(0)).alias("_before"))
+    parts = Slices(counts, group, [metric], rows_per_slice).sliced(counts)
+    above = Window.partitionBy(*group, "_slice").orderBy(F.col(metric).desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    higher = Window.partitionBy(*group).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = parts.groupBy(*group, "_slice").agg(F.sum("_n").alias("_whole"))
+    offsets = whole.select(*_prefixed(group, "_o_"), F.col("_slice").alias("_o_slice"), F.coalesce(F.sum("_whole").over(higher), F.lit(0)).alias("_before"))
     local = parts.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
-    ranks = local.join(offsets, _same(group, "_o_") & (F.col("_part") == F.col("_o_part"))).select(
+    ranks = local.join(offsets, _same(group, "_o_") & (F.col("_slice") == F.col("_o_slice"))).select(
         *_prefixed([*group, metric], "_r_"), (F.col("_above") + F.col("_before") + 1).cast("int").alias(name))
     return df.join(ranks, _same([*group, metric], "_r_")).select(*df.columns, name)
 

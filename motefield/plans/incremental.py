@@ -92,7 +92,7 @@ class IncrementalLayers:
             "late": (validation.late_arrivals(validated), F.to_date("reading_ts")),
             "obt": (dimensional.obt(enriched, self.registry, self.thresholds), F.to_date("reading_ts")),
             "hourly": (marts.hourly_readings(enriched), F.to_date("reading_hour")),
-            "health": (marts.device_health(enriched), F.col("report_date")),
+            "health": (marts.device_health(enriched, profile=validated), F.col("report_date")),
             "anomalies": (marts.anomalies(validated, self.thresholds), F.to_date("detected_at")),
         }
         valid, bad = (touched_partitions(part, DAY) for part in validation.split_valid(validated))

@@ -44,6 +44,11 @@ class Layers:
             self.__dict__[name] = self.staged.sparkSession.read.parquet(target)
         return self
 
+    @property
+    def _split(self) -> dict:
+        # staged rows have about the devices and times of the layers made from them, and need no shuffle to profile
+        return {"profile": self.staged} | self.split
+
     @cached_property
     def metadata(self) -> DataFrame:
         return staging.stage_device_metadata(self.staged)
@@ -54,8 +59,7 @@ class Layers:
 
     @cached_property
     def validated(self) -> DataFrame:
-        # staged rows have the same device shares as deduped rows and need no shuffle to profile
-        return validation.validate(self.deduped, self.thresholds, **({"profile": self.staged} | self.split))
+        return validation.validate(self.deduped, self.thresholds, **self._split)
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -75,7 +79,7 @@ class Layers:
 
     @cached_property
     def health(self) -> DataFrame:
-        return marts.device_health(self.enriched)
+        return marts.device_health(self.enriched, **self._split)
 
     @cached_property
     def anomalies(self) -> DataFrame:

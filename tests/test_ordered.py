@@ -69,11 +69,36 @@ def test_rank_counts_rows_above(frame, value):
     df = frame([(*row[:3], value(i, row[3])) for i, row in enumerate(skewed_rows(3))], DDL)
     w = Window.partitionBy("device_id").orderBy(F.col("temperature").desc_nulls_first())
     want = by_id(df.withColumn("rank", F.rank().over(w)), "rank")
-    got = by_id(ordered.rank_in(df, ["device_id"], "temperature"), "rank")
-    assert got == want
+    for rows_per_slice in (1, 7, 40, ordered.ROWS_PER_SLICE):
+        assert by_id(ordered.rank_in(df, ["device_id"], "temperature", rows_per_slice=rows_per_slice), "rank") == want
+
+
+def test_ranks_and_scores_without_a_reused_shuffle(spark):
+    rows = spark.range(40_000).selectExpr("id % 3 AS g", "cast(pmod(xxhash64(id), 100000) AS double) AS m", "id")
+    want = {r["id"]: r["rank"] for r in rows.withColumn("rank", F.rank().over(Window.partitionBy("g").orderBy(F.desc("m")))).collect()}
+    stamped = rows.selectExpr("g AS device_id", "timestampadd(SECOND, cast(m AS int), TIMESTAMP_NTZ '2024-01-01 00:00:00') AS reading_ts",
+                              "cast(id AS string) AS reading_id", "m AS temperature")
+    scores = by_id(plain_zscore(stamped), "temperature_zscore")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        ranked = ordered.rank_in(rows, ["g"], "m", rows_per_slice=500)
+        assert {r["id"]: r["rank"] for r in ranked.collect()} == want
+        assert by_id(ordered.rolling_zscore(stamped, rows_per_slice=500), "temperature_zscore") == scores
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+@pytest.mark.parametrize("rows_per_slice", [1, 4, 30])
+def test_rows_on_both_sides_of_a_cut(frame, rows_per_slice):
+    df = frame(skewed_rows(4, 600), DDL)
+    w = Window.partitionBy("device_id").orderBy(F.col("reading_ts").asc_nulls_last(), "reading_id")
+    want = df.withColumn("around", F.sum("temperature").over(w.rowsBetween(-3, 5)).cast("decimal(20,6)"))
+    got = ordered.rolling(df, ["device_id"], "reading_ts", ["reading_id"], 3,
+                          {"around": lambda x: F.sum("temperature").over(x.rowsBetween(-3, 5)).cast("decimal(20,6)")}, rows_per_slice, ahead=5)
+    assert by_id(got, "around") == by_id(want, "around")
 
 
-@pytest.mark.parametrize("prefix", ["R", "sensor-reading-of-device-"])
+@pytest.mark.parametrize("prefix", ["R", "sensor-reading-of-device-", "common-" * 30])
 @pytest.mark.parametrize("shape", ["steady", "burst", "one instant", "no time"])
 def test_no_slice_is_much_larger_than_asked(frame, shape, prefix):
     when = {
@@ -83,9 +108,8 @@ def test_no_slice_is_much_larger_than_asked(frame, shape, prefix):
         "no time": lambda i: None if i < 3000 else START + dt.timedelta(days=i),
     }[shape]
     df = frame([("HOT", f"{prefix}{i:05d}", when(i), float(i % 13)) for i in range(4000)], DDL)
-    hot = ordered.HotKeys(df, ["device_id"], ordered.time_axes("reading_ts", ["reading_id"]), rows_per_slice=100)
-    largest = hot.sliced(df).groupBy("device_id", "_slice").count().agg(F.max("count")).first()[0]
+    slices = ordered.Slices(df, ["device_id"], ["reading_ts", "reading_id"], rows_per_slice=100)
+    largest = slices.sliced(df).groupBy("device_id", "_slice").count().agg(F.max("count")).first()[0]
     assert largest <= 200
-    assert hot.cold(df).isEmpty()
     got = by_id(ordered.rolling_zscore(df, rows_per_slice=100), "temperature_zscore")
     assert got == by_id(plain_zscore(df), "temperature_zscore")
