@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.parsing import json_field
-from ..operators import dedup, dimensional, enrich, history, marts, validation, vault
+from ..operators import dedup, dimensional, enrich, history, marts, moments, validation, vault
 from .base import query
 from .oracle import AS_OF, key, rd, ts_text
 
@@ -246,6 +246,18 @@ def reaggregate(d):
     return marts.reaggregate(d.layers.hourly, ["cluster_id", F.to_date("reading_hour").alias("day")])
 
 
+@query("e12_rollup_of_moments", """
+    SELECT cluster_id, CAST(reading_ts AS DATE) AS day, avg(temperature) AS avg_temperature, stddev_samp(temperature) AS stddev_temperature,
+           min(temperature) AS min_temperature, max(temperature) AS max_temperature, avg(pressure) AS avg_pressure,
+           stddev_samp(pressure) AS stddev_pressure, min(pressure) AS min_pressure, max(pressure) AS max_pressure,
+           count(*) AS reading_count, count(*) FILTER (abs(temperature_zscore) > 3) AS anomaly_count
+    FROM enriched GROUP BY ALL""", doubles="avg_temperature stddev_temperature min_temperature max_temperature avg_pressure stddev_pressure min_pressure max_pressure")
+def rollup_of_moments(d):
+    """Days of clusters from the states of hours of devices, spreads included."""
+    hours = moments.hourly_moments(d.layers.enriched)
+    return moments.rollup(hours, ["cluster_id", F.to_date("reading_hour").alias("day")], ["temperature", "pressure"])
+
+
 @query("e13_distinct_devices", "SELECT count(DISTINCT device_id) AS distinct_devices FROM staged")
 def distinct_devices(d):
     return marts.distinct_devices(d.raw, json_field("raw_data", "device_id"))

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.timing import trunc
 from ..operators.dedup import dedup
 from ..operators.enrich import insert_new
-from ..operators.marts import hourly_readings
+from ..operators.moments import hourly_facts, hourly_moments, merge_hours
 from ..operators.staging import stage_readings
 from ..operators.validation import REASONS, error_count, flag_ranges, late_arrivals
 from ..sources.messages import split_deadletter
-from ..sources.tables import read_or_none, upsert_partitions
+from ..sources.tables import overwrite_partitions, read_or_none, rows_of, touched_partitions
 
 NO_DAY = "1970-01-01"
 
@@ -56,20 +55,32 @@ def late_stream(staged: DataFrame, minutes: int = 60) -> DataFrame:
 def write_hourly(enriched: DataFrame, store: str, dst: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Keep the hourly fact table current without a watermark, so no clock, early or late, ever drops a reading.
 
-    A batch goes into its own folder of ``store`` (a repeated batch replaces itself), the hours it touches are computed
-    again from the stored readings of those days, and they are upserted into their day partitions. Readings without a time count
-    to the day ``NO_DAY``.
+    No reading is stored. ``store`` holds the mergeable state of each device and hour, partitioned by day. A batch adds the state of its own
+    rows and merges it with that of the days it touches, so it reads at most two rows per device and hour of those days.
+    The newest batch stays apart from what came before: one that is repeated replaces its own part. Readings without a
+    time count to the day ``NO_DAY``.
     """
-    day = F.coalesce(F.to_date("reading_ts"), F.lit(NO_DAY).cast("date"))
+    day = F.coalesce(F.to_date("reading_hour"), F.lit(NO_DAY).cast("date"))
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        dated = batch.withColumns({"report_day": day, "_hour": trunc("hour", "reading_ts")})
-        dated.write.mode("overwrite").partitionBy("report_day").parquet(f"{store}/batch={batch_id:09d}")
-        touched = dated.select("report_day", F.col("device_id").alias("_device"), F.col("_hour").alias("_touched")).distinct()
-        stored = batch.sparkSession.read.parquet(store)
-        rows = stored.join(touched, (stored["report_day"] == touched["report_day"]) & stored["device_id"].eqNullSafe(touched["_device"])
-                           & stored["_hour"].eqNullSafe(touched["_touched"]), "left_semi")
-        facts = hourly_readings(rows).withColumn("report_day", F.coalesce(F.to_date("reading_hour"), F.lit(NO_DAY).cast("date")))
-        upsert_partitions(facts, dst, "hourly_reading_id", "report_day")
+        spark, own, state = batch.sparkSession, f"{store}/batch", f"{store}/state"
+        hourly_moments(batch).withColumns({"report_day": day, "batch": F.lit(batch_id).cast("long")}).write.mode("overwrite").parquet(own)
+        new = spark.read.parquet(own)
+        days = touched_partitions(new, "report_day")
+        if not days:
+            return
+        before = hours_of(spark, state, days)
+        if before is not None:
+            settled = merge_hours(before.filter(F.col("batch") < batch_id))
+            new = new.unionByName(settled.withColumns({"report_day": day, "batch": F.lit(batch_id - 1).cast("long")}))
+        overwrite_partitions(new, state, "report_day")
+        facts = hourly_facts(merge_hours(hours_of(spark, state, days))).withColumn("report_day", day)
+        overwrite_partitions(facts, dst, "report_day")
 
     return enriched.writeStream.option("checkpointLocation", checkpoint).foreachBatch(land).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def hours_of(spark: SparkSession, state: str, days: list) -> DataFrame | None:
+    """The stored states of the given days; other days are not read."""
+    stored = read_or_none(spark, state)
+    return None if stored is None else rows_of(stored, "report_day", days)
