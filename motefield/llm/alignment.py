@@ -12,20 +12,20 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
+from .byte_bpe import read_ranks
 from .workspace import Workspace
 
 PART_CHARS = 65_536
-BATCH_CHARS = 1_000_000
 ID_BITS = 20
 #: A pair is frequent if it owns more than this share of all rows of documents and pairs, so there are at most as many of them.
 FREQUENT = 20_000
@@ -71,17 +71,17 @@ def spans(a: list[int], b: list[int]) -> list[Span]:
     return found
 
 
-def links_of(a: list[int], b: list[int], span: Span, left: list[int], right: list[int]) -> bool:
-    """Append the index pairs of overlapping tokens of a span; true if the span is a stretch of one-to-one groups."""
+def links_of(a: list[int], b: list[int], span: Span, ids_a: list[int], ids_b: list[int], left: list[int], right: list[int]) -> bool:
+    """Append the ids of overlapping tokens of a span, pair by pair; true if the span is a stretch of one-to-one groups."""
     i, n, j, m = span
     if a[i] == b[j]:
-        left.extend(range(i, i + n))
-        right.extend(range(j, j + m))
+        left += ids_a[i:i + n]
+        right += ids_b[j:j + m]
         return True
     x, y = i, j
     while True:
-        left.append(x)
-        right.append(y)
+        left.append(ids_a[x])
+        right.append(ids_b[y])
         if a[x] < b[y]:
             x += 1
         elif a[x] > b[y]:
@@ -100,17 +100,21 @@ def _byte_chars() -> dict[str, int]:
 class TokenizerPair:
     """A byte-level BPE (A) and a sentence-piece BPE with byte fallback (B), with the bytes of each of their tokens.
 
-    Long texts are encoded in parts that start with a blank between two word characters: no token of A holds a blank after another
-    character, and B is checked for that when it is loaded, so the ids are those of the whole text.
+    Long texts are encoded in parts that start with a single blank between two signs: no token of A holds a blank after another
+    character, and B is checked for that when it is loaded, so the ids are those of the whole text. ``ranks`` is the vocabulary of A as a
+    rank file with its pattern; where given, a faster library encodes texts of ``PLAIN`` characters, which all Unicode tables class alike.
     """
 
-    CUT = re.compile(r"(?<=\w) (?=\w)")
+    CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
+    #: Latin letters up to Extended-B and what comes before them: no table has changed their classes since Unicode 5.
+    PLAIN = re.compile("[\x00-\u024f]*")
 
-    def __init__(self, byte_level: str, pieces: bytes):
+    def __init__(self, byte_level: str, pieces: bytes, ranks: tuple[bytes, str] | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a = Tokenizer.from_str(byte_level)
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_proto=pieces)
+        self.plain = tiktoken.Encoding("ranks", pat_str=ranks[1], mergeable_ranks=read_ranks(ranks[0]), special_tokens={}) if ranks else None
         chars = _byte_chars()
         size = self.a.get_vocab_size()
         self.bytes_a = [bytes(chars[c] for c in self.a.id_to_token(i)) if set(self.a.id_to_token(i)) <= chars.keys() else b"" for i in range(size)]
@@ -125,39 +129,34 @@ class TokenizerPair:
             return bytes([int(self.b.id_to_piece(i)[3:5], 16)])
         return self.b.id_to_piece(i).replace("▁", " ").encode()
 
-    def parts(self, text: str) -> list[str]:
-        """The text in parts; each but the first starts with the blank at which it was cut."""
-        found, at = [], 0
+    def parts(self, text: str) -> Iterator[str]:
+        """The text in parts, each without the blank before it."""
+        at = 0
         while self.cuts and len(text) - at > PART_CHARS:
             cut = self.CUT.search(text, at + PART_CHARS)
             if cut is None:
                 break
-            found.append(text[at:cut.start()])
-            at = cut.start()
-        return [*found, text[at:]]
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """The ids of A and B for each text; both are empty if the bytes of either differ from a blank and the text."""
-        held: list[list[str]] = []
-        size = 0
-        for text in texts:
-            held.append(self.parts(text) if text else [])
-            size += len(text)
-            if size >= BATCH_CHARS:
-                yield from self._encode(held)
-                held, size = [], 0
-        yield from self._encode(held)
-
-    def _encode(self, texts: list[list[str]]) -> Iterator[tuple[list[int], list[int]]]:
-        spaced = [(" " if k == 0 else "") + part for parts in texts for k, part in enumerate(parts)]
-        ids_a = iter(self.a.encode_batch_fast(spaced, add_special_tokens=False))
-        ids_b = iter(self.b.encode([s[1:] for s in spaced], num_threads=1))
-        for parts in texts:
-            a = [i for _ in parts for i in next(ids_a).ids]
-            b = [i for _ in parts for i in next(ids_b)]
-            whole = b" " + "".join(parts).encode()
-            same = b"".join(map(self.bytes_a.__getitem__, a)) == whole == b"".join(map(self.bytes_b.__getitem__, b))
-            yield (a, b) if parts and same else ([], [])
+            yield text[at:cut.start()]
+            at = cut.end()
+        yield text[at:]
+
+    def encode(self, text: str) -> tuple[list[int], list[int]]:
+        """The ids of A and B; both are empty if the bytes of either differ from a blank and the text."""
+        ids_a: list[int] = []
+        ids_b: list[int] = []
+        for part in self.parts(text) if text else ():
+            spaced = " " + part
+            if self.plain is not None and self.PLAIN.fullmatch(part):
+                a = self.plain.encode_ordinary(spaced)
+            else:
+                a = self.a.encode_batch_fast([spaced], add_special_tokens=False)[0].ids
+            b = self.b.encode(part)
+            whole = spaced.encode()
+            if not b"".join(map(self.bytes_a.__getitem__, a)) == whole == b"".join(map(self.bytes_b.__getitem__, b)):
+                return [], []
+            ids_a += a
+            ids_b += b
+        return ids_a, ids_b
 
     def align(self, a: list[int], b: list[int]) -> tuple[int, list[int], list[int], str]:
         """The number of groups, the linked ids of A and of B, and the groups as text."""
@@ -166,30 +165,32 @@ class TokenizerPair:
         left: list[int] = []
         right: list[int] = []
         shown: list[str] = []
-        for span in spans(ends_a, ends_b):
+        found = spans(ends_a, ends_b)
+        for span in found:
             i, n, j, m = span
-            if links_of(ends_a, ends_b, span, left, right):
-                shown += map("|".join, zip(shown_a[i:i + n], shown_b[j:j + m], strict=True))
+            if links_of(ends_a, ends_b, span, a, b, left, right):
+                shown.append(";".join(map("|".join, zip(shown_a[i:i + n], shown_b[j:j + m], strict=True))))
             else:
                 shown.append(",".join(shown_a[i:i + n]) + "|" + ",".join(shown_b[j:j + m]))
-        return len(shown), [a[i] for i in left], [b[j] for j in right], ";".join(shown)
+        return sum(n if ends_a[i] == ends_b[j] else 1 for i, n, j, _ in found), left, right, ";".join(shown)
 
 
 _PAIRS: dict[int, TokenizerPair] = {}
 
 
-def tokenizer_pair(byte_level: str, pieces: bytes) -> TokenizerPair:
+def tokenizer_pair(byte_level: str, pieces: bytes, ranks: tuple[bytes, str] | None) -> TokenizerPair:
     """One pair for each worker process and vocabularies."""
-    key = zlib.crc32(pieces, zlib.crc32(byte_level.encode()))
+    key = hash((byte_level, pieces, ranks))
     if key not in _PAIRS:
-        _PAIRS[key] = TokenizerPair(byte_level, pieces)
+        _PAIRS[key] = TokenizerPair(byte_level, pieces, ranks)
     return _PAIRS[key]
 
 
 ALIGNED = "uid long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
 
 
-def align_documents(docs: DataFrame, byte_level: str, pieces: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def align_documents(docs: DataFrame, byte_level: str, pieces: bytes, ranks: tuple[bytes, str] | None = None, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: sizes, digest of the groups, and the distinct linked id pairs with how often each is linked.
 
     A pair is one number, the id of A shifted by ``ID_BITS`` plus the id of B. ``uid`` numbers rows, so it is stable only once written.
@@ -198,12 +199,12 @@ def align_documents(docs: DataFrame, byte_level: str, pieces: bytes, id_col: str
     names = ["uid", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = tokenizer_pair(byte_level, pieces)
+        both = tokenizer_pair(byte_level, pieces, ranks)
         for batch in batches:
             rows: list[tuple] = []
             held = 0
-            texts = (text.as_py() or "" for text in batch.column(2))
-            for uid, doc_id, (a, b) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), both.encode(texts), strict=True):
+            for uid, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                a, b = both.encode(text.as_py() or "")
                 if not a:
                     rows.append((uid, doc_id, 0, 0, 0, 0, "", [], []))
                     continue
@@ -234,15 +235,15 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     return counts.join(highest, "a").select("pair", "docs", (F.col("docs") == F.col("highest")).alias("best"))
 
 
-def align_corpus(docs: DataFrame, byte_level: str, pieces: bytes, work: Workspace, id_col: str = "doc_id", text_col: str = "text",
-                 frequent: int = FREQUENT) -> DataFrame:
+def align_corpus(docs: DataFrame, byte_level: str, pieces: bytes, work: Workspace, ranks: tuple[bytes, str] | None = None,
+                 id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256``.
 
-    ``byte_level`` is the JSON of tokenizer A, ``pieces`` the model of B. A text that is null, empty, or that A or B do not give back
+    ``byte_level`` is the JSON of tokenizer A, ``pieces`` the model of B, ``ranks`` see :class:`TokenizerPair`. A text that is null, empty, or that A or B do not give back
     byte for byte has no tokens, zeros and an empty digest. Rows with the same or a null id count as documents of their own; other
     columns are not read. Ties for the highest count all count as best. No rows give no rows. A text is one row and fits into one task.
     """
-    aligned = work.settle(align_documents(docs, byte_level, pieces, id_col, text_col), "aligned")
+    aligned = work.settle(align_documents(docs, byte_level, pieces, ranks, id_col, text_col), "aligned")
     counts = work.settle(pair_counts(aligned), "pair-counts")
     total = counts.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
     common = F.broadcast(counts.where(F.col("docs") > total // frequent))

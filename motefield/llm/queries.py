@@ -65,7 +65,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return alignment.align_corpus(docs, _bytes("byte_bpe_50k.json").decode(), _bytes("piece_bpe_32k.model"), Workspace(spark, "alignment"))
+    ranks = (_bytes("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return alignment.align_corpus(docs, _bytes("byte_bpe_50k.json").decode(), _bytes("piece_bpe_32k.model"), Workspace(spark, "alignment"), ranks)
 
 
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
