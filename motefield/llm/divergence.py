@@ -201,6 +201,19 @@ def price_block(key: tuple, counts: pa.Table, groups: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names_out)
 
 
+def number_terms(kept: DataFrame, bits: int, work: Workspace) -> DataFrame:
+    """``lang, term, n, block, slot``: the terms numbered without gaps in the order of language and term, in blocks of ``1 << bits``.
+
+    Sorted ranges are numbered side by side; what comes before a range is a sum over the ranges. So blocks follow from the terms alone.
+    """
+    ranges = kept.repartitionByRange("lang", "term").sortWithinPartitions("lang", "term").withColumn("id", F.monotonically_increasing_id())
+    ranges = work.settle(ranges.select("lang", "term", "n", F.shiftright("id", 33).alias("part"), F.col("id").bitwiseAND((1 << 33) - 1).alias("place")), "ranges")
+    sizes = ranges.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
+    before = sizes.select("part", F.coalesce(F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    number = F.col("before") + F.col("place")
+    return ranges.join(before, "part").select("lang", "term", "n", F.shiftright(number, bits).alias("block"), number.bitwiseAND((1 << bits) - 1).cast("int").alias("slot"))
+
+
 def audit(docs: DataFrame, work: Workspace, min_documents: int = MIN_DOCUMENTS, bits: int = BITS, tile: int = TILE,
           lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """``lang, source, part, item, value, rank``: what sets each group of documents apart.
@@ -213,9 +226,7 @@ def audit(docs: DataFrame, work: Workspace, min_documents: int = MIN_DOCUMENTS,
     counts = work.settle(count_terms(docs, lang_col, source_col, text_col), "counts")
     kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).where(F.col("docs") >= min_documents).drop("docs")
     kept = work.settle(kept, "kept")
-    parts = kept.count() // (8 << bits) + 1
-    numbered = kept.repartitionByRange(parts, "lang", "term").sortWithinPartitions("lang", "term").withColumn("id", F.monotonically_increasing_id())
-    terms = work.settle(numbered.select("lang", "term", "n", F.shiftright("id", bits).alias("block"), F.col("id").bitwiseAND((1 << bits) - 1).cast("int").alias("slot")), "terms")
+    terms = work.settle(number_terms(kept, bits, work), "terms")
     rows = work.settle(counts.drop("docs").join(terms.drop("n"), ["lang", "term"]).select("lang", "source", "block", "slot", "n"), "rows")
 
     totals = rows.groupBy("lang", "source").agg(F.sum("n").alias("total"))
