@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 from ..functions.numbers import round_to
-from ..functions.timing import as_ts
+from ..functions.timing import as_ts, shift
 from .dedup import first_per
 from .validation import last
 
@@ -88,14 +88,20 @@ def sat_reading_metrics(staged: DataFrame, as_of, source: str = RECORD_SOURCE) -
 
 
 def dv_avg_temp(sat_reading: DataFrame, link: DataFrame, hub_dev: DataFrame, registry: DataFrame, as_of,
-                hours: int = 24) -> DataFrame:
+                hours: int = 24, day: str | None = None) -> DataFrame:
     """Average temperature per cluster from the vault tables.
 
-    The time filter comes first; small sides are left to Catalyst and AQE.
+    The time filter comes first; small sides are left to Catalyst and AQE. ``day`` names the column by which satellite and link are
+    partitioned: both are then read for the days of the span only, and a reading meets its link on its own day.
     """
-    recent = last(sat_reading, "reading_ts", hours, "hour", as_of).select("hub_reading_hk", "temperature")
+    keys = ["hub_reading_hk"]
+    if day is not None:
+        keys.append(day)
+        first = F.to_date(shift(as_ts(as_of), "hour", -hours))
+        sat_reading, link = (df.filter(F.col(day) >= first) for df in (sat_reading, link))
+    recent = last(sat_reading, "reading_ts", hours, "hour", as_of).select(*keys, "temperature")
     return (
-        recent.join(link.select("hub_reading_hk", "hub_device_hk"), "hub_reading_hk")
+        recent.join(link.select(*keys, "hub_device_hk"), keys)
         .join(hub_dev.select("hub_device_hk", "device_id"), "hub_device_hk")
         .join(registry.select("device_id", "cluster_id"), "device_id")
         .groupBy("cluster_id")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import dimensional, enrich, marts, validation
 from ..operators.dedup import dedup
 from ..operators.ordered import flag_anomaly
+from ..sources.key_index import KeyIndex
 from ..sources.tables import is_written, overwrite_partitions, read_or_none, remove, rows_of, touched_partitions
 from ..schemas import STAGED, columns
 from ..streaming.rolling import DAY, keep_tails, rescore, stored_history
@@ -34,6 +35,10 @@ class IncrementalLayers:
     def _at(self, name: str) -> str:
         return f"{self.path.rstrip('/')}/{name}"
 
+    @property
+    def _index(self) -> KeyIndex:
+        return KeyIndex(self.spark, self._at("index"))
+
     def read(self, name: str) -> DataFrame | None:
         return read_or_none(self.spark, self._at(name))
 
@@ -61,6 +66,7 @@ class IncrementalLayers:
             overwrite_partitions(self.spark.read.parquet(merged), self._at("validated"), DAY, LOAD_DAY)
             keep_tails(self.spark, self._at("validated"), self._at("tails"), days, [*columns(STAGED), "batch_id"])
             self._facts(days)
+        self._index.add(changed_rows.filter(F.col("batch_id") == batch_id), "reading_id", batch_id)
         self._count_files(changed_rows, staged)
         remove(self.spark, merged, changed)
 
@@ -68,10 +74,8 @@ class IncrementalLayers:
         """New readings and stored ones whose frames they change, validated; days before the first one are not read for scores."""
         names = [*columns(STAGED), "batch_id"]
         old = self.read("validated")
-        fresh, history = dedup(staged), None
-        if old is not None:
-            # rows of this batch come again when it is repeated
-            fresh = enrich.insert_new(fresh, old.filter(F.col("batch_id") != batch_id), "reading_id")
+        fresh, history = self._index.unknown(dedup(staged), "reading_id", batch_id), None
+        if old is not None:  # rows of this batch come again when it is repeated
             low = staged.agg(F.min(F.to_date("reading_ts"))).first()[0]
             history = stored_history(self.spark, self._at("validated"), self._at("tails"), low, names)
             history = history.filter(F.col("batch_id") != batch_id)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import dedup, dimensional, enrich, history, vault
 from ..plans.layers import run_models
+from ..plans.vault_load import VaultTables
 from .base import query
 from .joins import DEVICE_NORMALIZED, VAULT_ANSWER, _versions
 from .oracle import AS_OF, key, limit_of, num_text, rd, ts_text
@@ -98,6 +99,51 @@ def hub_sensor_reading(d):
     return d.layers.hub_reading
 
 
+def _loaded_vault(d) -> VaultTables:
+    """The vault after three batches in load order, the second of them given twice."""
+    tables = VaultTables(d.spark, d.scratch("vault"))
+    edges = ["2024-01-10", "2024-01-20"]
+    loaded = F.col("loaded_at")
+    low, high = (F.lit(e).cast("timestamp_ntz") for e in edges)
+    for number, part in enumerate((loaded < low, (loaded >= low) & (loaded < high), loaded >= high)):
+        for _ in range(2 if number == 1 else 1):
+            tables.apply(d.staged.filter(part), number, d.as_of)
+    return tables
+
+
+@query("j6_hubs_in_batches", f"""
+    SELECT DISTINCT 'device' AS hub, {key('device_id')} AS hash_key, device_id AS business_key FROM staged
+    UNION ALL SELECT DISTINCT 'reading', {key('reading_id')}, reading_id FROM staged""")
+def hubs_in_batches(d):
+    tables = _loaded_vault(d)
+    devices = tables.read("hub_device").select(F.lit("device").alias("hub"), F.col("hub_device_hk").alias("hash_key"), F.col("device_id").alias("business_key"))
+    return devices.unionByName(tables.read("hub_sensor_reading").select(
+        F.lit("reading").alias("hub"), F.col("hub_reading_hk").alias("hash_key"), F.col("reading_id").alias("business_key")))
+
+
+@query("j7_link_in_batches", f"""
+    SELECT {key('device_id', 'reading_id')} AS link_device_reading_hk, hub_device_hk, hub_reading_hk, reading_ts FROM hubs""")
+def link_in_batches(d):
+    return _loaded_vault(d).read("link_device_reading").select("link_device_reading_hk", "hub_device_hk", "hub_reading_hk", "reading_ts")
+
+
+@query("j8_sat_device_in_batches", """
+    SELECT DISTINCT device_id, firmware_version, error_profile FROM staged""")
+def sat_device_in_batches(d):
+    return _loaded_vault(d).read("sat_device_details").select("device_id", "firmware_version", "error_profile")
+
+
+@query("j9_sat_reading_in_batches", "SELECT reading_id, device_id, reading_ts, temperature, battery_pct FROM deduped", doubles="temperature battery_pct")
+def sat_reading_in_batches(d):
+    return _loaded_vault(d).read("sat_reading_metrics").select("reading_id", "device_id", "reading_ts", "temperature", "battery_pct")
+
+
+@query("j10_vault_by_days", VAULT_ANSWER)
+def vault_by_days(d):
+    """The vault's answer from tables laid out by reading day."""
+    return _loaded_vault(d).average_temperature(d.registry, d.as_of)
+
+
 @query("j7_link_device_reading", f"""
     SELECT {key('device_id', 'reading_id')} AS link_device_reading_hk, hub_device_hk, hub_reading_hk, device_id,
            reading_id, reading_ts, {AS_OF} AS load_ts, 'sensor_feed' AS record_source FROM hubs""")

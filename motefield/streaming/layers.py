@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import dedup
-from ..operators.enrich import insert_new
 from ..operators.moments import hourly_facts, hourly_moments, merge_hours
 from ..operators.staging import stage_readings
 from ..operators.validation import REASONS, error_count, flag_ranges, late_arrivals
+from ..sources.key_index import KeyIndex
 from ..sources.messages import split_deadletter
 from ..sources.tables import overwrite_partitions, read_or_none, rows_of, touched_partitions
 
@@ -23,17 +23,18 @@ def parse_stream(messages: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame]
     return stage_readings(good).select("*"), bad.select("value", "reason", *keep)
 
 
-def write_deduped(staged: DataFrame, dst: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """First copy of each reading, whatever its clocks say: ids are looked up in the table, not in a state with a watermark.
+def write_deduped(staged: DataFrame, dst: str, checkpoint: str, index: str | None = None, **trigger) -> StreamingQuery:
+    """First copy of each reading, whatever its clocks say: ids are looked up in an index of keys, not in a state with a watermark.
 
-    A batch goes into its own folder of ``dst`` and is compared with the ids of the folders before it, so a repeated batch
-    replaces itself. Of earlier batches only the ids are read.
+    A batch goes into its own folder of ``dst``, so a repeated batch replaces itself. Of earlier batches only the filters of the
+    index (below ``index``, by default beside ``dst``) are read, and those of its folders that may hold an id of the batch.
     """
+    known = KeyIndex(staged.sparkSession, index or f"{dst.rstrip('/')}_index")
+
     def land(batch: DataFrame, batch_id: int) -> None:
-        fresh, stored = dedup(batch), read_or_none(batch.sparkSession, dst)
-        if stored is not None:
-            fresh = insert_new(fresh, stored.filter(F.col("batch") < batch_id), "reading_id")
-        fresh.write.mode("overwrite").parquet(f"{dst}/batch={batch_id:09d}")
+        own = f"{dst}/batch={batch_id:09d}"
+        known.unknown(dedup(batch), "reading_id", batch_id).write.mode("overwrite").parquet(own)
+        known.add(batch.sparkSession.read.schema(batch.schema).parquet(own), "reading_id", batch_id)
 
     return staged.writeStream.option("checkpointLocation", checkpoint).foreachBatch(land).trigger(**(trigger or {"availableNow": True})).start()
 

@@ -134,3 +134,31 @@ def test_a_batch_that_broke_off_is_finished_from_its_log(data, monkeypatch):
     state.apply(data.staged.filter(~early), 1)
     for name in FACTS:
         assert rounded(state.read(name)) == rounded(getattr(data.layers, name)), name
+
+
+def test_the_vault_loads_in_batches(data):
+    """Three batches, one of them twice, give the tables of one load; a day's answer reads the folders of its days."""
+    from motefield.plans.vault_load import VaultTables
+
+    tables = VaultTables(data.spark, data.scratch("vault"))
+    for number, part in enumerate(slices(data.staged, 3)):
+        for _ in range(2 if number == 1 else 1):
+            tables.apply(part, number, data.as_of)
+    full = {"hub_device": data.layers.hub_device, "hub_sensor_reading": data.layers.hub_reading, "link_device_reading": data.layers.link,
+            "sat_reading_metrics": data.layers.sat_reading}
+    for name, want in full.items():
+        stored = tables.read(name)
+        assert rounded(stored.select(*[c for c in want.columns])) == rounded(want), name
+        assert stored.count() == want.count()
+    answer = tables.average_temperature(data.registry, dt.datetime(2024, 1, 20))
+    plan = answer._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("reading_day#") > 2 and plan.count(">= 2024-01-19") >= 2, plan
+    whole = vault_answer(data, dt.datetime(2024, 1, 20))
+    assert rounded(answer) == rounded(whole)
+
+
+def vault_answer(data, as_of):
+    from motefield.operators import vault
+
+    x = data.layers
+    return vault.dv_avg_temp(x.sat_reading, x.link, x.hub_device, data.registry, as_of)
