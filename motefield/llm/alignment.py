@@ -13,6 +13,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -121,8 +122,8 @@ class TokenizerPair:
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.cuts = not any(" " in p.lstrip(b" ").decode("utf-8", "replace") for p in self.bytes_b)
         self.digits = [str(i) for i in range(max(size, len(self.bytes_b)))]
-        self.lengths_a = np.array([len(t) for t in self.bytes_a], dtype=np.int64)
-        self.lengths_b = np.array([len(t) for t in self.bytes_b], dtype=np.int64)
+        self.before, self.after = [f"{d}|" for d in self.digits], [f"{d};" for d in self.digits]
+        self.lengths_a, self.lengths_b = [len(t) for t in self.bytes_a], [len(t) for t in self.bytes_b]
 
     def _piece(self, i: int) -> bytes:
         if self.b.is_byte(i):
@@ -146,33 +147,39 @@ class TokenizerPair:
         ids_b: list[int] = []
         for part in self.parts(text) if text else ():
             spaced = " " + part
+            b, whole = self.b.encode(part), spaced.encode()
+            if b"".join(map(self.bytes_b.__getitem__, b)) != whole:
+                return [], []
             if self.plain is not None and self.PLAIN.fullmatch(part):
-                a = self.plain.encode_ordinary(spaced)
+                a = self.plain.encode_ordinary(spaced)  # ranks of bytes lose none
             else:
                 a = self.a.encode_batch_fast([spaced], add_special_tokens=False)[0].ids
-            b = self.b.encode(part)
-            whole = spaced.encode()
-            if not b"".join(map(self.bytes_a.__getitem__, a)) == whole == b"".join(map(self.bytes_b.__getitem__, b)):
-                return [], []
+                if b"".join(map(self.bytes_a.__getitem__, a)) != whole:
+                    return [], []
             ids_a += a
             ids_b += b
         return ids_a, ids_b
 
     def align(self, a: list[int], b: list[int]) -> tuple[int, list[int], list[int], str]:
         """The number of groups, the linked ids of A and of B, and the groups as text."""
-        ends_a, ends_b = np.cumsum(self.lengths_a[a]).tolist(), np.cumsum(self.lengths_b[b]).tolist()
-        shown_a, shown_b = [self.digits[i] for i in a], [self.digits[i] for i in b]
+        ends_a = list(accumulate(map(self.lengths_a.__getitem__, a)))
+        ends_b = list(accumulate(map(self.lengths_b.__getitem__, b)))
+        before, after, digits = list(map(self.before.__getitem__, a)), list(map(self.after.__getitem__, b)), self.digits
         left: list[int] = []
         right: list[int] = []
         shown: list[str] = []
-        found = spans(ends_a, ends_b)
-        for span in found:
+        groups = 0
+        for span in spans(ends_a, ends_b):
             i, n, j, m = span
             if links_of(ends_a, ends_b, span, a, b, left, right):
-                shown.append(";".join(map("|".join, zip(shown_a[i:i + n], shown_b[j:j + m], strict=True))))
+                groups += n
+                pairs = [""] * (2 * n)
+                pairs[0::2], pairs[1::2] = before[i:i + n], after[j:j + n]
+                shown += pairs
             else:
-                shown.append(",".join(shown_a[i:i + n]) + "|" + ",".join(shown_b[j:j + m]))
-        return sum(n if ends_a[i] == ends_b[j] else 1 for i, n, j, _ in found), left, right, ";".join(shown)
+                groups += 1
+                shown.append(",".join([digits[k] for k in a[i:i + n]]) + "|" + ",".join([digits[k] for k in b[j:j + m]]) + ";")
+        return groups, left, right, "".join(shown)[:-1]
 
 
 _PAIRS: dict[int, TokenizerPair] = {}
