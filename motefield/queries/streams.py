@@ -8,7 +8,7 @@ from ..operators.staging import stage_readings
 from ..plans.incremental import IncrementalLayers
 from ..streaming import ingest, layers, rolling
 from .base import joined, query
-from .files import BAD_SQL, landing, message_stream
+from .files import BAD_SQL, SALVAGED, landing, message_stream
 from .joins import HOURLY_DOUBLES
 
 
@@ -110,7 +110,8 @@ def incremental_layers(d):
     return state.overview()
 
 
-@query("m8_replay", "SELECT reading_id, temperature FROM staged", doubles="temperature")
+@query("m8_replay", f"""
+    SELECT reading_id, temperature FROM staged UNION ALL SELECT reading_id, temperature FROM {SALVAGED} AS salvaged""", doubles="temperature")
 def replay(d):
     """A second, fresh target gets everything from the beginning."""
     src, dst = landing(d), d.scratch("raw")

@@ -13,12 +13,51 @@ from ..schemas import CLUSTER_METADATA, DEVICE_REGISTRY, READING_JSON, SENSOR_TH
 CORRUPT = "_corrupt_record"
 
 
+#: The tokens of a JSON text: a string as a whole (its end may be missing), a bracket or comma, or whatever stands between them.
+TOKEN = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"?|[\[\]{},]|[^"\[\]{},]++'
+
+
+def salvage(text: Column) -> Column:
+    """The pieces of a damaged or cut-off JSON array in order, as ``text`` and ``json``: elements, and what is left behind the last whole one.
+
+    Brackets are counted outside of strings. An element is whole if a comma or the closing bracket follows it, or its own end does. ``json`` is
+    the text of a piece that is whole and parses. A text that is no array, or has no such element, is one piece without.
+    """
+    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+
+    def step(state: Column, token: Column) -> Column:
+        depth, current, whole = state["depth"], state["current"], state["whole"]
+        after = depth + F.when(token.isin("[", "{"), 1).when(token.isin("]", "}"), -1).otherwise(0)
+        opens = (depth == 0) & (token == "[")
+        ends = ((depth == 1) & (token == ",")) | ((after == 0) & (token == "]"))
+        return F.struct(
+            after.alias("depth"), F.when(opens | ends, "").otherwise(F.concat(current, token)).alias("current"),
+            F.when(ends, F.concat(whole, F.array(F.regexp_replace(current, r"^\s+|\s+$", "")))).otherwise(whole).alias("whole"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("current"), F.array().cast("array<string>").alias("whole"))
+    scanned = F.aggregate(tokens, start, step)
+    last = F.regexp_replace(scanned["current"], r"^\s+|\s+$", "")
+
+    def closed(p: Column) -> Column:
+        """The parser reads the first value and lets pass what follows; a piece has to end with its own bracket."""
+        return ((p.startswith("{") & p.endswith("}")) | (p.startswith("[") & p.endswith("]"))) & F.try_parse_json(p).isNotNull()
+
+    plain = lambda p: ~p.rlike(r"^[{\[]") & F.try_parse_json(p).isNotNull()
+    elements = F.transform(scanned["whole"], lambda p: F.struct(p.alias("text"), F.when(closed(p) | plain(p), p).alias("json")))
+    # a cut number may look like one, a cut object or array cannot
+    rest = F.struct(last.alias("text"), F.when((scanned["depth"] == 1) & closed(last), last).alias("json"))
+    pieces = F.filter(F.concat(elements, F.array(rest)), lambda p: p["text"] != "")
+    readable = F.ltrim(text).startswith("[") & F.exists(pieces, lambda p: p["json"].isNotNull())
+    return F.when(readable, pieces).otherwise(F.array(F.struct(text.alias("text"), F.lit(None).cast("string").alias("json"))))
+
+
 def read_reading_files(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
-    """JSON-array files as typed rows, one per array element; a broken file becomes one ``_corrupt_record`` row.
+    """JSON-array files as typed rows, one per array element. Of a broken file the whole elements are rows, too; each other piece
+    becomes a ``_corrupt_record`` row.
 
     NULL fields and duplicate rows are kept, and ``source_file`` says where a row came from.
     """
-    return (
+    rows = (
         spark.read.schema(f"{READING_JSON}, {CORRUPT} string")
         .option("multiLine", True)
         .option("mode", "PERMISSIVE")
@@ -28,19 +67,29 @@ def read_reading_files(spark: SparkSession, path: str, pattern: str = "*.json")
         .json(path)
         .withColumn("source_file", F.col("_metadata.file_path"))
     )
+    fields = [c for c in rows.columns if c not in (CORRUPT, "source_file")]
+    typed = ", ".join(f"{c} {t}" for c, t in rows.dtypes if c in fields)
+
+    def piece(p: Column) -> Column:
+        parsed = F.from_json(p["json"], typed)
+        return F.struct(*[parsed[c].alias(c) for c in fields], F.when(p["json"].isNull(), p["text"]).alias(CORRUPT))
+
+    whole = F.array(F.struct(*[F.col(c) for c in fields], F.col(CORRUPT)))
+    parts = F.when(F.col(CORRUPT).isNull(), whole).otherwise(F.transform(salvage(F.col(CORRUPT)), piece))
+    return rows.select(F.inline(parts), "source_file").select(*rows.columns)
 
 
 def array_elements(text: Column) -> Column:
-    """Elements of a JSON text: those of an outer array, or the value itself; NULL for broken text."""
+    """Elements of a JSON text as ``raw_data`` and ``broken``: those of an outer array, or the value itself; of a broken text its pieces."""
     value = F.try_parse_json(text)
-    return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array(value))
+    good = F.transform(F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array(value)), lambda v: F.struct(v.alias("raw_data"), F.lit(None).cast("string").alias("broken")))
+    pieces = F.transform(salvage(text), lambda p: F.struct(F.try_parse_json(p["json"]).alias("raw_data"), F.when(p["json"].isNull(), p["text"]).alias("broken")))
+    return F.when(value.isNotNull(), good).otherwise(pieces)
 
 
 def explode_payload(texts: DataFrame, text: str, *keep: str) -> DataFrame:
-    """One row per array element with the payload as VARIANT; broken text gives one row with ``_corrupt_record``."""
-    rows = texts.select(F.col(text).alias("_text"), *keep, F.explode(array_elements(F.col(text))).alias("raw_data"))
-    broken = F.when(F.col("raw_data").isNull(), F.col("_text")).alias(CORRUPT)
-    return rows.select("raw_data", *keep, broken)
+    """One row per array element with the payload as VARIANT; a piece of a broken text that is no JSON gives one row with ``_corrupt_record``."""
+    return texts.select(*keep, F.inline(array_elements(F.col(text)))).select("raw_data", *keep, F.col("broken").alias(CORRUPT))
 
 
 def _whole_files(reader, pattern: str):

@@ -17,7 +17,7 @@ from ..sources.tables import read_or_none
 
 
 def dead_letters_of(dst: str) -> str:
-    """The table of files that do not parse: their whole text, so that nothing is lost."""
+    """The table of what does not parse: pieces of damaged files, or a file as a whole if none of it can be read, so nothing is lost."""
     return f"{dst}_dead"
 
 
@@ -27,7 +27,7 @@ def audit_of(dst: str) -> str:
 
 
 def _load(stream: DataFrame, dst: str, checkpoint: str, trigger: dict, seen: list[int]) -> StreamingQuery:
-    """Good rows to ``dst``, broken files to the dead letters, a row per file to the audit.
+    """Good rows to ``dst``, broken pieces to the dead letters, a row per file to the audit.
 
     Each batch writes folders named after its id, so a repeated batch replaces itself. A file that holds an empty array has no
     rows and no audit row.

@@ -49,6 +49,33 @@ def test_variant_files_keep_the_whole_payload(spark, landing):
     assert good.agg(F.sum(json_field("raw_data", "co2_level", "double"))).first()[0] == 500.0
 
 
+@pytest.mark.parametrize("text, good, bad", [
+    (r'[{"a":1},{"b":"x,]\"}"},{"c":', ['{"a":1}', r'{"b":"x,]\"}"}'], ['{"c":']),
+    ('[{"a":1},{bad},{"c":[1,{"d":3}]}]', ['{"a":1}', '{"c":[1,{"d":3}]}'], ["{bad}"]),
+    ('[{"a":1}, {"b":2} ', ['{"a":1}', '{"b":2}'], []),
+    ("[1,2,34", ["1", "2"], ["34"]), ('{"a":1, "b', [], ['{"a":1, "b']), ("[", [], ["["]), ('["unclosed, {"a":1}]', [], ['["unclosed, {"a":1}]']),
+    ("", [], [""]), ('[{"a":"' + "y" * 100_000 + '"},{"b', ['{"a":"' + "y" * 100_000 + '"}'], ['{"b']),
+])
+def test_whole_elements_of_a_damaged_array_are_kept(frame, text, good, bad):
+    rows = files.explode_payload(frame([(text, 1)], "value string, k int"), "value", "k").select(F.to_json("raw_data").alias("j"), files.CORRUPT).collect()
+    assert [r["j"] for r in rows if r["j"] is not None] == good and [r[files.CORRUPT] for r in rows if r["j"] is None] == bad
+
+
+def test_a_file_cut_in_its_third_element(spark, tmp_path):
+    folder = tmp_path / "cut"
+    folder.mkdir()
+    text = json.dumps([READING | {"reading_id": f"r{i}"} for i in range(4)])
+    (folder / "a.json").write_text(text[:text.index('"r2"') + 20])
+    for rows in (files.read_reading_files(spark, str(folder)), files.read_raw_variant(spark, str(folder), loaded_at="2024-01-02")):
+        audit = files.audit_load(rows, "2024-01-01").first()
+        assert (audit["rows_loaded"], audit["rows_parsed"], audit["errors_seen"], audit["load_status"]) == (2, 3, 1, "PARTIAL")
+    assert [r["reading_id"] for r in files.read_reading_files(spark, str(folder)).orderBy("reading_id").collect()] == [None, "r0", "r1"]
+    dst = str(tmp_path / "raw")
+    assert ingest.load_new_files(spark, str(folder), dst, str(tmp_path / "checkpoint")) == 1
+    dead = spark.read.parquet(ingest.dead_letters_of(dst)).first()["value"]
+    assert spark.read.parquet(dst).count() == 2 and dead.startswith('{"reading_id": "r2"')
+
+
 def test_each_file_is_loaded_once(spark, landing, tmp_path):
     dst, checkpoint = str(tmp_path / "raw"), str(tmp_path / "checkpoint")
     assert ingest.load_new_files(spark, landing, dst, checkpoint) == 3
