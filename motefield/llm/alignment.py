@@ -1,7 +1,7 @@
 """Alignment of two tokenizers over the same bytes by diagonal run skipping, and what the links say about a vocabulary.
 
 Both token sequences cut the same bytes, so each is an array of ends. At the current shift between the two indices, slices of the
-arrays are compared in steps that double until they differ, then halve back: one-to-one stretches are jumped without a look at
+arrays are compared in steps that double until they differ, then halve back and end with a walk of a few: one-to-one stretches are jumped without a look at
 their tokens. Where the ends part, a group is resolved token by token until both ends meet again; the shift is then what the
 group left behind. Counts of linked id pairs are summed over the corpus and joined back, the few frequent pairs by broadcast and
 all others by a shuffle in which no key is hot.
@@ -27,6 +27,8 @@ from .byte_bpe import read_ranks
 from .workspace import Workspace
 
 PART_CHARS = 65_536
+#: A window of so many ends that differ somewhere is looked through one by one; a larger one is halved.
+WALK = 8
 ID_BITS = 20
 #: A pair is frequent if it owns more than this share of all rows of documents and pairs, so there are at most as many of them.
 FREQUENT = 20_000
@@ -51,10 +53,12 @@ def spans(a: list[int], b: list[int]) -> list[Span]:
                 run += step
                 step += step
             run = min(run, size - i)
-            while step > 1:
+            while step > WALK:
                 step >>= 1
                 if i + run < size and a[i + run:i + run + step] == b[j + run:j + run + step]:
                     run = min(run + step, size - i)
+            while i + run < size and a[i + run] == b[j + run]:
+                run += 1
             found.append((i, run, j, run))
             i += run
             j += run
