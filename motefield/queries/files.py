@@ -265,6 +265,24 @@ def versions(d):
     return asked("first", dt.datetime(2024, 1, 25)).unionByName(asked("newest", None))
 
 
+@query("a15_appended_versions", """
+    SELECT 'first' AS asked, 1::BIGINT AS parts, count(*) AS n FROM staged WHERE loaded_at < TIMESTAMP '2024-01-10'
+    UNION ALL SELECT 'newest', 3, count(*) FROM staged""")
+def appended_versions(d):
+    """Three loads, each a version that carries the parts of the one before over."""
+    path, loaded = d.scratch("versions"), F.col("loaded_at")
+    low, high = (F.lit(day).cast("timestamp_ntz") for day in ("2024-01-10", "2024-01-20"))
+    for day, part in ((10, loaded < low), (20, (loaded >= low) & (loaded < high)), (31, loaded >= high)):
+        tables.append_version(d.staged.filter(part), path, dt.datetime(2024, 1, day))
+
+    def asked(name, ts):
+        parts = len(tables.version_at(d.spark, path, ts)["parts"])
+        return tables.read_as_of(d.spark, path, ts).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("asked"), F.lit(parts).cast("long").alias("parts"), "n")
+
+    return asked("first", dt.datetime(2024, 1, 15)).unionByName(asked("newest", None))
+
+
 @query("a16_audit_load", f"""
     SELECT CASE WHEN n = 1 THEN 'PARTIAL' ELSE 'SUCCESS' END AS load_status, CASE WHEN n = 1 THEN 1 ELSE {BROKEN} - 1 END
            AS file_count, CASE WHEN n = 1 THEN 2 ELSE (SELECT count(*) FROM staged) END AS rows_loaded,

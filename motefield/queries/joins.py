@@ -111,7 +111,17 @@ def orphans(d):
 def as_of_version(d):
     versions = _versions(d)
     facts = d.layers.deduped.select("reading_id", "device_id", "reading_ts")
-    return enrich.join_as_of_version(facts, versions, "device_id", "reading_ts", ["firmware_version"]).drop("reading_ts")
+    return enrich.join_as_of_version(facts, versions, "device_id", "reading_ts", ["firmware_version"], profile=d.staged).drop("reading_ts")
+
+
+@query("d12_as_of_version_sliced", """
+    SELECT d.reading_id, d.device_id, v.firmware_version AS firmware_version_at_reading, v.valid_from, v.valid_to
+    FROM deduped d LEFT JOIN versions v ON v.device_id = d.device_id AND d.reading_ts >= v.valid_from
+         AND (v.valid_to IS NULL OR d.reading_ts < v.valid_to)""")
+def as_of_version_sliced(d):
+    """The plan of busy devices: each is cut into slices of about a hundred rows."""
+    facts = d.layers.deduped.select("reading_id", "device_id", "reading_ts")
+    return enrich.join_as_of_version(facts, _versions(d), "device_id", "reading_ts", ["firmware_version"], 100, d.staged).drop("reading_ts")
 
 
 ATTRIBUTES = ["firmware_version", "cluster_id", "device_type", "base_latitude", "base_longitude"]

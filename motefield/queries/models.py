@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators import dedup, dimensional, enrich, history, vault
 from ..plans.layers import run_models
 from ..plans.vault_load import VaultTables
+from ..sources import tables
 from .base import query
 from .joins import DEVICE_NORMALIZED, VAULT_ANSWER, _versions
 from .oracle import AS_OF, key, limit_of, num_text, rd, ts_text
@@ -80,6 +83,23 @@ def scd2_apply(d):
     return history.scd2_apply(once, state(readings), "device_id", ["firmware_version"], "2024-01-31 00:00:00")
 
 
+@query("j4_snapshot_table", f"""
+    WITH states AS (
+        SELECT device_id, arg_max(firmware_version, (reading_ts, reading_id)) FILTER (WHERE reading_ts < TIMESTAMP '2024-01-12')
+               AS before, arg_max(firmware_version, (reading_ts, reading_id)) AS after FROM deduped GROUP BY 1)
+    SELECT device_id, before AS firmware_version, TIMESTAMP '2024-01-12' AS valid_from,
+           CASE WHEN before <> after THEN TIMESTAMP '2024-01-31' END AS valid_to FROM states WHERE before IS NOT NULL
+    UNION ALL
+    SELECT device_id, after, TIMESTAMP '2024-01-31', NULL FROM states WHERE before IS DISTINCT FROM after""")
+def snapshot_table(d):
+    """The same two runs over a stored history, in which closed versions stay in their files."""
+    path, readings = d.scratch("history"), d.layers.deduped
+    for day, rows in ((dt.datetime(2024, 1, 12), readings.filter(F.col("reading_ts") < F.lit("2024-01-12").cast("timestamp_ntz"))), (dt.datetime(2024, 1, 31), readings)):
+        last = dedup.latest_per_key(rows, "device_id", "reading_ts", ["reading_id"]).select("device_id", "firmware_version")
+        history_rows = tables.snapshot_table(last, path, "device_id", ["firmware_version"], day)
+    return history_rows
+
+
 @query("j5_scd2_changes", "SELECT * FROM versions WHERE valid_to IS NOT NULL", doubles="base_latitude base_longitude")
 def scd2_changes(d):
     return history.scd2_changes(_versions(d), "device_id")

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import re
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,7 @@ from ..functions.timing import as_ts
 from ..operators.history import merge_upsert, scd2_apply
 
 _MANIFEST = "_versions"
+_VERSIONS = "version long, committed_at timestamp_ntz, parts array<string>"
 
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -38,36 +42,89 @@ def remove(spark: SparkSession, *paths: str) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+class VersionConflict(RuntimeError):
+    """Another writer has announced the version first. What was written for it is not part of the table."""
+
+
+def _manifests(spark: SparkSession, path: str):
+    """The folder of manifests, its file system, and the numbers of all versions announced so far."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_MANIFEST}")
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in store.listStatus(folder)] if store.exists(folder) else []
+    return folder, store, [int(n.removesuffix(".json")) for n in names if re.fullmatch(r"\d+\.json", n)]
+
+
 def list_versions(spark: SparkSession, path: str) -> DataFrame:
-    """(version, committed_at, location) of every committed version."""
-    manifest = read_or_none(spark, f"{path}/{_MANIFEST}")
-    if manifest is None:
-        return spark.createDataFrame([], "version long, committed_at timestamp_ntz, location string")
-    return manifest.orderBy("version")
+    """(version, committed_at, parts) of every committed version; ``parts`` are the folders whose files make it up."""
+    _, _, numbers = _manifests(spark, path)
+    if not numbers:
+        return spark.createDataFrame([], _VERSIONS)
+    return spark.read.schema(_VERSIONS).json(f"{path}/{_MANIFEST}").orderBy("version")
+
+
+def write_part(df: DataFrame, path: str) -> str:
+    """Write rows into a folder of their own, which no version has yet; two writers never share one."""
+    part = f"data/part-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(f"{path}/{part}")
+    return part
+
+
+def commit_version(spark: SparkSession, path: str, after: int, committed_at: dt.datetime, parts: Sequence[str]) -> int:
+    """Announce the version that follows ``after``, made of ``parts``; of two writers who follow the same version one fails.
+
+    The manifest is created only if it is absent, which the store decides. Parts of earlier versions may be named again: they are
+    carried over as they are.
+    """
+    folder, store, _ = _manifests(spark, path)
+    text = json.dumps({"version": after + 1, "committed_at": committed_at.isoformat(sep=" "), "parts": list(parts)}) + "\n"
+    try:
+        out = store.create(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{after + 1:09d}.json"), False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            raise VersionConflict(f"{path} has a version {after + 1} by another writer") from error
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return after + 1
 
 
-def write_version(df: DataFrame, path: str, committed_at: dt.datetime) -> int:
-    """Write a full new version and then announce it; readers never see a half-written one."""
+def newest_version(spark: SparkSession, path: str) -> int:
+    """The last number given out, 0 before the first; also that of a writer who broke off after it took the number."""
+    return max(_manifests(spark, path)[2], default=0)
+
+
+def write_version(df: DataFrame, path: str, committed_at: dt.datetime, carry: Sequence[str] = (), after: int | None = None) -> int:
+    """Write rows and then announce a version of them and of the parts in ``carry``; readers never see a half-written one.
+
+    ``after`` is the version the rows were made from, by default the newest at the start.
+    """
     spark = df.sparkSession
-    last = list_versions(spark, path).agg(F.max("version")).first()[0]
-    version = 1 if last is None else last + 1
-    location = f"{path}/data/version={version:06d}-{uuid.uuid4().hex}"  # two writers never share a folder
-    df.write.mode("errorifexists").parquet(location)
-    row = spark.createDataFrame([(version, committed_at, location)],
-                                "version long, committed_at timestamp_ntz, location string")
-    row.coalesce(1).write.mode("append").parquet(f"{path}/{_MANIFEST}")
-    return version
+    after = newest_version(spark, path) if after is None else after
+    return commit_version(spark, path, after, committed_at, [*carry, write_part(df, path)])
 
 
-def read_as_of(spark: SparkSession, path: str, ts: dt.datetime | None = None) -> DataFrame:
-    """The version current at a time; without a time the newest."""
+def version_at(spark: SparkSession, path: str, ts: dt.datetime | None = None):
+    """The row of the version current at a time, of the newest without one; None before the first."""
     versions = list_versions(spark, path)
     if ts is not None:
         versions = versions.filter(F.col("committed_at") <= as_ts(ts))
-    newest = versions.orderBy(F.col("version").desc()).first()
-    if newest is None:
+    return versions.orderBy(F.col("version").desc()).first()
+
+
+def read_as_of(spark: SparkSession, path: str, ts: dt.datetime | None = None) -> DataFrame:
+    """The version current at a time; without a time the newest."""
+    found = version_at(spark, path, ts)
+    if found is None:
         raise LookupError(f"{path} has no version at {ts}")
-    return spark.read.parquet(newest["location"])
+    return spark.read.parquet(*[f"{path}/{part}" for part in found["parts"]])
+
+
+def append_version(df: DataFrame, path: str, committed_at: dt.datetime) -> int:
+    """A version of all rows so far and those of ``df``; only these are written."""
+    found = version_at(df.sparkSession, path)
+    return write_version(df, path, committed_at, found["parts"] if found else (), newest_version(df.sparkSession, path))
 
 
 def overwrite_partitions(df: DataFrame, path: str, *by: str) -> None:
@@ -109,15 +166,25 @@ def upsert_partitions(new: DataFrame, path: str, key: str | Sequence[str], by: s
 def snapshot_table(current: DataFrame, path: str, key: str, check_cols: Sequence[str], as_of: dt.datetime) -> DataFrame:
     """Bring the stored type-2 history at ``path`` up to date with the current state and return it.
 
-    Every run writes a new version, so a run that breaks off leaves the history as it was.
+    The last part of a version holds the open versions of the keys, the parts before it closed ones. A run reads the open part, writes
+    it anew together with a part of what it closed, and carries all other parts over: closed rows are never written again. A run that
+    breaks off, or meets another one, leaves the history as it was.
     """
     spark = current.sparkSession
-    if list_versions(spark, path).isEmpty():
-        stamp = F.lit(None).cast("timestamp_ntz")
-        history = current.limit(0).withColumns({"valid_from": stamp, "valid_to": stamp})
+    after, found = newest_version(spark, path), version_at(spark, path)
+    stamp = F.lit(None).cast("timestamp_ntz")
+    if found is None:
+        carried, opened = [], current.limit(0).withColumns({"valid_from": stamp, "valid_to": stamp})
     else:
-        history = read_as_of(spark, path)
-    write_version(scd2_apply(history, current, key, check_cols, as_of), path, as_of)
+        *carried, last = found["parts"]
+        opened = spark.read.parquet(f"{path}/{last}")
+    changed = write_part(scd2_apply(opened, current, key, check_cols, as_of), f"{path}/scratch")
+    rows = spark.read.parquet(f"{path}/scratch/{changed}")
+    closed = rows.filter(F.col("valid_to").isNotNull())
+    if not closed.isEmpty():
+        carried.append(write_part(closed, path))
+    write_version(rows.filter(F.col("valid_to").isNull()), path, as_of, carried, after)
+    remove(spark, f"{path}/scratch/{changed}")
     return read_as_of(spark, path)
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from motefield.operators import ordered
+from motefield.operators import enrich, ordered
 
 DDL = "device_id string, reading_id string, reading_ts timestamp_ntz, temperature double"
 START = dt.datetime(2024, 1, 1)
@@ -113,3 +113,34 @@ def test_no_slice_is_much_larger_than_asked(frame, shape, prefix):
     assert largest <= 200
     got = by_id(ordered.rolling_zscore(df, rows_per_slice=100), "temperature_zscore")
     assert got == by_id(plain_zscore(df), "temperature_zscore")
+
+
+@pytest.mark.parametrize("rows_per_slice", [3, 40, 10**6])
+def test_versions_at_the_time_of_facts(frame, rows_per_slice):
+    """One device with very many versions, others with gaps, versions that start together, and facts without key or time."""
+    rng = random.Random(5)
+    versions = [("HOT", START + dt.timedelta(minutes=i), START + dt.timedelta(minutes=i + 1), f"v{i}") for i in range(400)]
+    versions += [("D1", START, START + dt.timedelta(hours=1), "a"), ("D1", START + dt.timedelta(hours=3), None, "b"), ("D1", START + dt.timedelta(hours=3), START + dt.timedelta(hours=3), "never"),
+                 (None, START, None, "no key"), ("D2", None, None, "no start")]
+    facts = [(f"f{i}", rng.choice(["HOT", "HOT", "D1", "D2", None]), None if i % 19 == 0 else START + dt.timedelta(seconds=rng.randrange(-600, 26_000))) for i in range(900)]
+    facts += [("same", "HOT", START + dt.timedelta(minutes=7))] * 30
+    f = frame(facts, "id string, device_id string, at timestamp_ntz")
+    v = frame(versions, "device_id string, valid_from timestamp_ntz, valid_to timestamp_ntz, name string")
+    got = enrich.join_as_of_version(f, v, "device_id", "at", ["name"], rows_per_slice)
+
+    def at(device, moment):
+        hits = [n for d, low, high, n in versions if d is not None and d == device and moment is not None and low is not None and low <= moment and (high is None or moment < high)]
+        return hits[0] if hits else None
+
+    assert sorted((r["id"], r["name_at_reading"]) for r in got.collect()) == sorted(((i, at(d, m)) for i, d, m in facts), key=lambda x: (x[0], x[1]))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Join" in plan) == (rows_per_slice < 10**6)
+
+
+def test_one_device_with_ten_thousand_versions(spark):
+    rows = spark.range(10_000)
+    stamp = "timestampadd(MINUTE, {}, TIMESTAMP_NTZ '2024-01-01 00:00:00')"
+    versions = rows.selectExpr("'D' AS device_id", stamp.format("cast(id AS int)") + " AS valid_from", stamp.format("cast(id + 1 AS int)") + " AS valid_to", "id AS name")
+    facts = spark.range(50_000).selectExpr("'D' AS device_id", stamp.format("cast(id % 10000 AS int)") + " AS at", "id % 10000 AS want")
+    got = enrich.join_as_of_version(facts, versions, "device_id", "at", ["name"])
+    assert got.filter("NOT (name_at_reading <=> want)").isEmpty() and got.count() == 50_000

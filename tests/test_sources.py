@@ -114,6 +114,48 @@ def test_stored_history_grows_by_changes(spark, frame, tmp_path):
     assert tables.list_versions(spark, path).count() == 3
 
 
+def sizes(path):
+    return {f: f.stat().st_size for f in path.rglob("*.parquet")}
+
+
+def test_closed_versions_are_not_written_again(spark, frame, tmp_path):
+    """Ten runs over many keys of which one changes each time: what a run writes does not grow with the history."""
+    path, ddl = tmp_path / "history", "device_id string, firmware string"
+    written, before = [], {}
+    for day in range(1, 11):
+        rows = [(f"d{i}", f"{day}" if i == day else "0") for i in range(50)]
+        got = tables.snapshot_table(frame(rows, ddl).coalesce(1), str(path), "device_id", ["firmware"], dt.datetime(2024, 1, day))
+        now = sizes(path)
+        assert all(now.get(f) == size for f, size in before.items())  # every file of an earlier version is as it was
+        written.append(sum(size for f, size in now.items() if f not in before))
+        before = now
+    assert max(written[2:]) < 1.3 * min(written[2:])
+    closed = got.filter("valid_to IS NOT NULL")
+    assert closed.count() == 2 * 9 and got.filter("valid_to IS NULL").count() == 50
+    assert tables.read_as_of(spark, str(path), dt.datetime(2024, 1, 1)).count() == 50
+
+
+def test_of_two_writers_one_fails(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    tables.write_version(spark.range(3), path, dt.datetime(2024, 1, 1))
+    after = tables.newest_version(spark, path)
+    assert tables.write_version(spark.range(4), path, dt.datetime(2024, 1, 2), after=after) == 2
+    with pytest.raises(tables.VersionConflict):
+        tables.write_version(spark.range(5), path, dt.datetime(2024, 1, 3), after=after)
+    assert tables.read_as_of(spark, path).count() == 4 and tables.list_versions(spark, path).count() == 2
+    assert tables.append_version(spark.range(2), path, dt.datetime(2024, 1, 4)) == 3
+    assert tables.read_as_of(spark, path).count() == 6 and tables.read_as_of(spark, path, dt.datetime(2024, 1, 3)).count() == 4
+
+
+def test_a_writer_who_breaks_off_leaves_no_version(spark, tmp_path):
+    path = tmp_path / "mart"
+    tables.write_version(spark.range(3), str(path), dt.datetime(2024, 1, 1))
+    (path / "_versions" / "000000002.json").write_text("")  # took its number and was lost
+    assert tables.read_as_of(spark, str(path)).count() == 3
+    assert tables.append_version(spark.range(2), str(path), dt.datetime(2024, 1, 4)) == 3
+    assert tables.read_as_of(spark, str(path)).count() == 5 and [r["version"] for r in tables.list_versions(spark, str(path)).collect()] == [1, 3]
+
+
 def test_seeds(spark, tmp_path):
     (tmp_path / "device_registry.csv").write_text(
         "device_id,device_name,device_type,cluster_id,base_latitude,base_longitude,install_date\n"
