@@ -14,6 +14,7 @@ from ..functions.rules import device_status, health_status, outside
 from ..functions.timing import as_ts, boundary_diff, trunc
 from ..schemas import CLUSTER_METADATA, SENSORS, columns
 from .ordered import rolling
+from .sketches import KLL_K, exact_quantiles, quantile
 from .validation import FLAGS, threshold_bounds
 
 EXPECTED_PER_DAY = 288  # one reading every five minutes
@@ -305,16 +306,15 @@ def reaggregate(hourly: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
 
 
 def threshold_stats(df: DataFrame, column: str, points: Sequence[float], exact: bool = True) -> DataFrame:
-    """Percentiles and mean for choosing alert limits.
+    """Percentiles and mean for choosing alert limits, as one row.
 
-    Exact percentiles keep one counter per distinct value, which suits rounded scores; use ``exact=False``
-    for a raw measurement.
+    Exact percentiles come from ranks over counted values, so no task holds all of them; ``exact=False`` reads a sketch instead.
     """
-    def one(p: float) -> Column:
-        how = F.percentile(column, p) if exact else F.percentile_approx(column, p, 10_000)
-        return how.alias(f"p{round(p * 100)}")
-
-    return df.agg(*[one(p) for p in points], F.avg(column).alias("mean"))
+    if exact:
+        found = exact_quantiles(df, column, points)
+        return found.withColumn("mean", df.agg(F.avg(column)).scalar())
+    kept = df.agg(F.kll_sketch_agg_double(F.col(column).cast("double"), F.lit(KLL_K)).alias("quantiles"), F.avg(column).alias("mean"))
+    return kept.select(*[quantile(p).alias(f"p{round(p * 100)}") for p in points], "mean")
 
 
 def raw_status(raw: DataFrame, as_of: Column | dt.datetime) -> DataFrame:

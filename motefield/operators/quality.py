@@ -146,6 +146,52 @@ def run_checks(checks: Sequence[Check]) -> DataFrame:
     return out
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A check that needs no other table: rows for which ``bad`` holds, or groups of ``unique`` columns that occur more than once."""
+
+    name: str
+    table: str
+    bad: Column | None = None
+    unique: tuple[str, ...] = ()
+    severity: str = "error"
+
+
+def _counted(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The failures of all rules of one table from a single scan of it."""
+    keys = list(dict.fromkeys(rule.unique for rule in rules if rule.unique))
+    flags = {f"_bad{i}": rule.bad for i, rule in enumerate(rules) if not rule.unique}
+    bad = [F.count(F.when(condition, 1)).alias(name) for name, condition in flags.items()]
+    if not keys:
+        counted = df.agg(F.lit(0).alias("_none"), *bad)
+    else:
+        names = list(dict.fromkeys(column for key in keys for column in key))
+        # a set of grouping columns per key; rows are combined per key before the shuffle
+        groups = df.groupingSets([[F.col(c) for c in key] for key in keys], *names).agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_rows"), *bad)
+        ids = {key: sum(1 << (len(names) - 1 - i) for i, name in enumerate(names) if name not in key) for key in keys}
+        twice = []
+        for key in keys:
+            known = F.lit(True)
+            for column in key if len(key) == 1 else ():
+                known = known & F.col(column).isNotNull()
+            twice.append(F.count(F.when((F.col("_set") == ids[key]) & (F.col("_rows") > 1) & known, 1)).alias("_twice_" + "_".join(key)))
+        first = F.col("_set") == ids[keys[0]]
+        counted = groups.agg(*[F.coalesce(F.sum(F.when(first, F.col(name))), F.lit(0)).alias(name) for name in flags], *twice)
+    rows = [F.struct(F.lit(rule.name).alias("check"), F.lit(rule.severity).alias("severity"),
+                     F.col("_twice_" + "_".join(rule.unique) if rule.unique else f"_bad{i}").alias("failing_rows")) for i, rule in enumerate(rules)]
+    return counted.select(F.inline(F.array(*rows)))
+
+
+def run_rules(tables: dict[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
+    """(check, severity, failing_rows, status) of rules, with one scan per table whatever the number of its rules."""
+    out = None
+    for name in dict.fromkeys(rule.table for rule in rules):
+        part = _counted(tables[name], [rule for rule in rules if rule.table == name])
+        out = part if out is None else out.unionByName(part)
+    status = F.when(F.col("failing_rows") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
+    return out.withColumn("status", status)
+
+
 def payload_fields(raw: DataFrame, by: Sequence[str] = ("source_file",), payload: str = "raw_data") -> DataFrame:
     """Fields seen in the payloads with their JSON type and number of rows, per load."""
     text = F.to_json(payload)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import count_if, ratio, round_to
@@ -43,9 +43,11 @@ def anomaly_summary(anomalies: DataFrame, as_of: Time, hours: int = 24) -> DataF
 
 
 def health_distribution_latest(health: DataFrame) -> DataFrame:
-    return latest_day(health, "report_date").groupBy("health_status").agg(
-        F.count_distinct("device_id").alias("device_count")
-    ).orderBy(F.col("device_count").desc(), "health_status")
+    """Counted for every day first, so the facts are computed once; the latest day is then looked for among a few rows."""
+    counts = health.groupBy("report_date", "health_status").agg(F.count_distinct("device_id").alias("device_count"))
+    newest = counts.withColumn("_day", F.rank().over(Window.orderBy(F.col("report_date").desc_nulls_last())))
+    return newest.filter(F.col("report_date").isNotNull() & (F.col("_day") == 1)).select("health_status", "device_count").orderBy(
+        F.col("device_count").desc(), "health_status")
 
 
 def battery_by_device(health: DataFrame, as_of: Time, days: int = 3) -> DataFrame:

@@ -124,7 +124,7 @@ def source_freshness(d):
     return quality.source_freshness(d.staged, d.as_of + F.expr("interval 45 minutes"))
 
 
-@query("k14_run_checks", """
+K14 = """
     SELECT 'staged.reading_id unique' AS "check", 'error' AS severity,
            (SELECT count(*) FROM (SELECT 1 FROM staged GROUP BY reading_id HAVING count(*) > 1)) AS failing_rows,
            'fail' AS status
@@ -133,7 +133,10 @@ def source_freshness(d):
     UNION ALL SELECT 'anomalies.severity accepted', 'error', 0, 'pass'
     UNION ALL SELECT 'no future timestamps', 'warn', (SELECT count(*) FROM staged WHERE reading_ts > TIMESTAMP '2024-01-21'),
               'warn'
-    UNION ALL SELECT 'score in range', 'error', 0, 'pass'""")
+    UNION ALL SELECT 'score in range', 'error', 0, 'pass'"""
+
+
+@query("k14_run_checks", K14)
 def run_checks(d):
     x = d.settled
     return quality.run_checks([
@@ -147,6 +150,20 @@ def run_checks(d):
     ])
 
 
+@query("k14_fused_rules", K14)
+def fused_rules(d):
+    """The same checks declared as rules: one scan per table."""
+    x, severity, score = d.settled, F.col("severity"), F.col("quality_score")
+    return quality.run_rules({"staged": d.staged, "deduped": x.deduped, "anomalies": x.anomalies, "quality": x.quality}, [
+        quality.Rule("staged.reading_id unique", "staged", unique=("reading_id",)),
+        quality.Rule("deduped.reading_id unique", "deduped", unique=("reading_id",)),
+        quality.Rule("deduped.reading_id not null", "deduped", F.col("reading_id").isNull()),
+        quality.Rule("anomalies.severity accepted", "anomalies", ~severity.isin("info", "warning", "critical")),
+        quality.Rule("no future timestamps", "staged", F.col("reading_ts") > F.lit("2024-01-21").cast("timestamp_ntz"), severity="warn"),
+        quality.Rule("score in range", "quality", ~score.between(0, 100)),
+    ])
+
+
 @query("k15_contract_rules", """
     SELECT avg((temperature IS NULL)::INT) AS null_rate,
            (SELECT count(*) FROM (SELECT 1 FROM staged GROUP BY reading_id HAVING count(*) > 1)) AS duplicate_keys,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.parsing import json_field
-from ..operators import dedup, dimensional, enrich, history, marts, moments, validation, vault
+from ..operators import dedup, dimensional, enrich, history, marts, moments, sketches, validation, vault
 from .base import query
 from .oracle import AS_OF, key, rd, ts_text
 
@@ -249,6 +249,41 @@ def threshold_stats(d):
     return marts.threshold_stats(d.layers.quality, "quality_score", [0.05, 0.5])
 
 
+@query("e11_exact_quantiles", """
+    SELECT quantile_cont(temperature, 0.01) AS p1, quantile_cont(temperature, 0.5) AS p50, quantile_cont(temperature, 0.99) AS p99 FROM staged""",
+       doubles="p1 p50 p99")
+def exact_quantiles(d):
+    """Quantiles of a raw measurement by ranks over slices of about a hundred values."""
+    return sketches.exact_quantiles(d.staged, "temperature", [0.01, 0.5, 0.99], 100)
+
+
+@query("e11_sketched_quantiles", """
+    SELECT true AS p5_near, true AS p50_near, true AS p95_near, count(*) AS row_count FROM staged""")
+def sketched_quantiles(d):
+    """Sketches of days merged over the month: the true share of rows below each estimate is within the stated error."""
+    merged = sketches.merge_sketches(sketches.sketch(d.staged, [F.to_date("loaded_at").alias("day")], "temperature", "device_id"))
+    values, near = d.staged.filter("temperature IS NOT NULL"), []
+    for p in (5, 50, 95):
+        estimate = merged.select(sketches.quantile(p / 100)).scalar()
+        near.append((F.abs(F.avg((F.col("temperature") < estimate).cast("double")) - p / 100) < 0.02).alias(f"p{p}_near"))
+    return values.agg(*near, merged.select("rows").scalar().alias("row_count"))
+
+
+@query("e13_sketched_devices", """
+    SELECT CAST(loaded_at AS DATE) AS day, true AS near, count(*) AS row_count FROM staged GROUP BY 1
+    UNION ALL SELECT NULL, true, count(*) FROM staged""")
+def sketched_devices(d):
+    """Distinct readings per day and, from the same sketches, over all days: within five standard errors of the exact counts."""
+    day = F.to_date("loaded_at").alias("day")
+    daily = sketches.sketch(d.staged, [day], "temperature", "reading_id")
+    exact = d.staged.groupBy(day).agg(F.count_distinct("reading_id").alias("exact"))
+    whole = sketches.merge_sketches(daily).withColumn("exact", d.staged.agg(F.count_distinct("reading_id")).scalar())
+    both = daily.join(exact, "day").select("day", "rows", "identities", "exact").unionByName(
+        whole.select(F.lit(None).cast("date").alias("day"), "rows", "identities", "exact"))
+    near = F.abs(sketches.distinct() - F.col("exact")) <= F.greatest(F.col("exact") * 0.08, F.lit(1.0))
+    return both.select("day", near.alias("near"), F.col("rows").alias("row_count"))
+
+
 @query("e12_reaggregate", """
     SELECT cluster_id, CAST(reading_ts AS DATE) AS day, avg(temperature) AS avg_temperature, count(*) AS reading_count,
            0::BIGINT AS anomaly_count FROM enriched GROUP BY ALL""", doubles="avg_temperature")
