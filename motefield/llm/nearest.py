@@ -21,7 +21,10 @@ BLOCK_VALUES = 1 << 24
 LEAST_ROWS = 4096
 CHUNK = 2048
 QUERY_ROWS = 256
-CONFIDENCE = 3.0
+#: Candidates scored before there is a bound, and pairs of queries and candidates estimated at a time.
+SEEDS, PAIRS = 256, 1 << 22
+#: Deviations of an estimate that its bound allows for. So recall stays above 0.97 with under a tenth of the pairs scored, see README.
+CONFIDENCE = 1.25
 QUERY_STEP = 20
 
 
@@ -63,29 +66,37 @@ class Block:
         rank[by] = np.arange(len(ids)) - np.repeat(starts, np.diff(np.append(starts, len(ids))))
         keep = rank <= top
         self.ids, self.vectors, self.top = ids[keep], vectors[keep].astype(np.float64), top
-        self.codes = Codes(self.vectors)
+        self.codes, self.scored = Codes(self.vectors), 0
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """The best candidates of each query, ids and exact scores."""
+        """The best candidates of each query, ids and exact scores.
+
+        The candidates with the largest estimates are scored first; the last score of that list is the bound that the others' estimates,
+        raised by their errors, have to reach. ``scored`` counts all that were scored.
+        """
         norms = np.linalg.norm(queries, axis=1)
         turned = (queries / norms[:, None]).astype(np.float32) @ rotation(queries.shape[1])
-        ids = [np.empty(0, dtype=np.int64)] * len(queries)
-        scores = [np.empty(0)] * len(queries)
-        least = np.full(len(queries), -np.inf)
-        for at in range(0, len(self.ids), CHUNK):
-            part = slice(at, at + CHUNK)
-            estimates, errors = self.codes.estimate(turned, part)
-            upper = (estimates + errors) * norms[:, None]
-            for q in range(len(queries)):
-                maybe = at + np.flatnonzero(upper[q] >= least[q])
-                maybe = maybe[self.ids[maybe] != query_ids[q]]
-                if len(maybe):
-                    own_ids = np.append(ids[q], self.ids[maybe])
-                    own = np.append(scores[q], exact(self.vectors[maybe], queries[q]))
-                    best = np.lexsort((own_ids, -own))[: self.top]
-                    ids[q], scores[q] = own_ids[best], own[best]
-                    if len(best) == self.top:
-                        least[q] = scores[q][-1]
+        ids: list[np.ndarray] = []
+        scores: list[np.ndarray] = []
+        together = max(1, PAIRS // max(len(self.ids), 1))
+        for low in range(0, len(queries), together):
+            parts = [self.codes.estimate(turned[low:low + together], slice(at, at + CHUNK)) for at in range(0, len(self.ids), CHUNK)]
+            estimates, errors = np.concatenate([p[0] for p in parts], axis=1), np.concatenate([p[1] for p in parts])
+            for q, row in enumerate(estimates, low):
+                row = np.where(self.ids == query_ids[q], -np.inf, row)
+                first = np.argpartition(-row, SEEDS)[:SEEDS] if len(row) > SEEDS else np.arange(len(row))
+                first = first[row[first] > -np.inf]
+                own = exact(self.vectors[first], queries[q])
+                least = np.partition(own, -self.top)[-self.top] if len(own) >= self.top else -np.inf
+                others = (row + errors) * norms[q] >= least
+                others[first] = False
+                maybe = np.flatnonzero(others & (row > -np.inf))
+                own_ids = np.append(self.ids[first], self.ids[maybe])
+                own = np.append(own, exact(self.vectors[maybe], queries[q]))
+                self.scored += len(own)
+                best = np.lexsort((own_ids, -own))[: self.top]
+                ids.append(own_ids[best])
+                scores.append(own[best])
         return ids, scores
 
 

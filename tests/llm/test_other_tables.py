@@ -111,6 +111,26 @@ def test_search_with_odd_vectors(spark, work):
     assert nearest.search(frame.where("false")).collect() == []
 
 
+def test_recall_and_share_over_many_rows():
+    """120,000 vectors without clusters, in blocks: what is scored exactly is a small share, and nearly all neighbours are found."""
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(120_000, 64)) * rng.uniform(0.5, 2.0, size=(120_000, 1))
+    ids, asked, top = np.arange(120_000), np.arange(0, 120_000, 600), 20
+    best = [[] for _ in asked]
+    scored = 0
+    for low in range(0, len(ids), 30_000):
+        block = nearest.Block(ids[low:low + 30_000], vectors[low:low + 30_000], top)
+        for found, own, scores in zip(best, *block.search(asked, vectors[asked]), strict=True):
+            found += zip(-scores, own, strict=True)
+        scored += block.scored
+    hits = 0
+    for q, found in zip(asked, best, strict=True):
+        products = vectors @ vectors[q]
+        products[q] = -np.inf
+        hits += len({i for _, i in sorted(found)[:top]} & set(np.argsort(-products)[:top]))
+    assert hits >= 0.95 * top * len(asked) and scored < 0.1 * len(asked) * len(ids)
+
+
 def test_recall_on_the_table(spark, work):
     rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()]
     expected, found = brute_search(rows, 20, 20), {}
