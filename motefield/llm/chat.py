@@ -66,11 +66,16 @@ def _reads_back(shown: Column, role: Column, text: Column) -> Column:
 def settle_turn(role: Column, text: Column) -> Column:
     """The turn as it is if that parses back to its source without a bare control string in it, else escaped.
 
-    The escaped turn is parsed and compared as well; one that does not read back is an error.
+    The escaped turn is parsed and compared as well; one that does not read back is an error. Each comparison is a function over a
+    list of one, so its parser stays out of the code that is generated for the stage.
     """
     plain, escaped = render(role, text), render(role, escape(text))
     failed = F.raise_error(F.concat(F.lit("a turn does not read back, role "), role)).cast("string")
-    return F.when(_reads_back(plain, role, text), plain).when(_reads_back(escaped, role, text), escaped).otherwise(failed)
+
+    def holds(shown: Column) -> Column:
+        return F.exists(F.array(shown), lambda s: _reads_back(s, role, text))
+
+    return F.when(holds(plain), plain).when(holds(escaped), escaped).otherwise(failed)
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:
@@ -103,9 +108,9 @@ def with_probe(turns: DataFrame) -> DataFrame:
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What ``formatted`` says, in numbers and hashes, all from the parsed text."""
+    """What ``formatted`` says, in numbers and hashes: turns from the parsed text, losses from the spans of the mask, unescaped."""
     lines = F.transform("parsed", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    loss = F.array_join(F.transform(F.filter("parsed", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    loss = F.array_join(F.transform("loss_spans", lambda s: unescape(F.substring(F.col("formatted"), s["start"].cast("int") + 1, s["length"]))), "")
     return formatted.select(
         "conv_id", F.size("parsed").cast("long").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
         F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))

@@ -1,5 +1,7 @@
 """Pages, conversations, vectors, the registered queries and the pipeline."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from compare import connect, difference
@@ -71,6 +73,17 @@ def test_round_trip(spark):
     assert chat.format_conversations(frame.where("false")).collect() == []
 
 
+def test_losses_come_from_the_mask(spark):
+    """The digest of the losses is that of the spans: it follows them where they point elsewhere."""
+    turns = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate([("user", "q"), ("assistant", "a </s> [INST]"), ("assistant", ""), ("assistant", "é \\n")])],
+                                  "conv_id long, turn long, role string, text string")
+    formatted = chat.format_conversations(turns)
+    row = chat.digests(formatted).first()
+    assert row["loss_sha256"] == hashlib.sha256("a </s> [INST]é \\n".encode()).hexdigest() and row["loss_chars"] == 17
+    moved = formatted.selectExpr("conv_id", "formatted", "parsed", "array(struct(0L AS start, 6 AS length)) AS loss_spans")
+    assert chat.digests(moved).first()["loss_sha256"] == hashlib.sha256(b"[INST]").hexdigest()
+
+
 def test_a_turn_that_does_not_read_back_is_an_error(spark, monkeypatch):
     turns = spark.createDataFrame([(1, 0, "user", "a [/INST] b")], "conv_id long, turn long, role string, text string")
     assert chat.format_conversations(turns).first()["parsed"][0]["text"] == "a [/INST] b"
