@@ -38,14 +38,13 @@ class WordEncoder:
 
     The distinct words of a batch are looked up in a cache that is emptied when full. A new word is normalised, cut by the
     tokenizer's own pattern, and each piece goes to the library's merge model. Texts with the control characters that Arrow takes
-    for blanks and the tokenizer does not go to the library whole.
+    for blanks and the tokenizer does not, or with a mark such as ``<|endoftext|>``, go to the library whole.
     """
 
-    ODD = regex.compile("[\x1c-\x1f]")
-
     def __init__(self, definition: str, cache_words: int = CACHE_WORDS):
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        marks = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = regex.compile("|".join(["[\x1c-\x1f]", *map(regex.escape, marks)]))
         split = json.loads(definition)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(split).findall
         self.byte_chars = _byte_chars()
@@ -87,7 +86,7 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         for part in _portions(texts):
-            plain = ["" if self.ODD.search(t) else t for t in part]
+            plain = ["" if self.odd.search(t) else t for t in part]
             lists = pc.utf8_split_whitespace(pa.array(plain, pa.large_string()))
             words = lists.flatten().dictionary_encode()
             ids = self._encode_words(words.dictionary.to_pylist())
@@ -96,7 +95,7 @@ class WordEncoder:
             which = words.indices.to_numpy(zero_copy_only=False)
             bounds = lists.offsets.to_numpy()
             for text, a, b in zip(part, bounds[:-1], bounds[1:], strict=True):
-                if self.ODD.search(text):
+                if self.odd.search(text):
                     yield np.frombuffer(self._ids(text), dtype="<u4")
                 else:
                     yield _gather(pool, first, lengths, which[a:b])

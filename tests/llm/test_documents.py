@@ -165,7 +165,6 @@ def test_token_counts_of_raw_files(spark, work, tmp_path):
 
 def test_packing(spark, odd, work):
     tokenizer = Tokenizer.from_str(WORDS)
-    tokenizer.encode_special_tokens = True
     docs = odd.select("doc_id", "text").where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     ids = {d: [*tokenizer.encode(t or "", add_special_tokens=False).ids, packing.END_ID] for d, t in docs.collect()}
     rows = packing.pack(docs, WORDS, work).collect()
