@@ -45,6 +45,29 @@ def test_wrappers_and_links(page, text):
     assert html_text.main_text(page, TREE) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<article><h1>A title of the page</h1><p><a href=x>Read the paper in full</a></p><p>{LONG}</p></article>", f"A title of the page\nRead the paper in full\n{LONG}"),
+    (f"<article><p>{LONG}</p><p>Figure two.</p><figure><a href=x>Enlarge picture</a></figure><p>{LONG}</p></article>", f"{LONG}\nFigure two.\nEnlarge picture\n{LONG}"),
+    (f"<article><p>{LONG}</p><p>See also:</p><ul><li><a href=x>One page</a><li><a href=y>Another one</a></ul></article>", f"{LONG}\nSee also:\nOne page\nAnother one"),
+    (f"<h1>Title here</h1><p>{LONG}</p><p>{LONG}</p><a href=x><div>A card that leads to some other page of this site</div></a>", f"Title here\n{LONG}\n{LONG}"),
+    (f"<h1>Title here</h1><p>{LONG} <a href=x>left open</p><p>{LONG}</p><p>{LONG}</p>", f"Title here\n{LONG} left open\n{LONG}\n{LONG}"),
+    (f"<article><p>So <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation>E=m</annotation></math> holds.</p><p>{LONG}</p></article>", f"So E=m holds.\n{LONG}"),
+])
+def test_articles_with_links_and_cards_outside_them(page, text):
+    assert html_text.main_text(page, TREE) == text
+
+
+def test_unclosed_elements_cost_no_more_than_their_number():
+    import time
+
+    spent = []
+    for n in (4_000, 16_000):
+        page, start = "<article>" + "<div class=x><li>word " * n + "</span></em></section>" * n, time.process_time()
+        assert html_text.main_text(page, TREE).count("word") == n
+        spent.append(time.process_time() - start)
+    assert spent[1] < 10 * spent[0] and spent[1] < 10
+
+
 def test_tree_fits_its_table():
     x, y = html_text.labelled_table()
     assert (html_text.classify(TREE, x) == y).mean() > 0.95
