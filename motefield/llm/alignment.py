@@ -13,7 +13,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from itertools import accumulate
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,16 +33,16 @@ ID_BITS = 20
 #: A pair is frequent if it owns more than this share of all rows of documents and pairs, so there are at most as many of them.
 FREQUENT = 20_000
 
-Span = tuple[int, int, int, int]
+Run = tuple[int, int, int]
+Group = tuple[int, int, int, int]
 
 
-def spans(a: list[int], b: list[int]) -> list[Span]:
-    """``(i, n, j, m)``: the tokens ``a[i:i+n]`` and ``b[j:j+m]`` that lie between two common ends, in order.
-
-    A span is a stretch of one-to-one groups if its first ends are equal, else one irregular group. The last ends of ``a`` and
-    ``b`` are equal.
+def spans(a: list[int], b: list[int]) -> tuple[list[Run], list[Group]]:
+    """What lies between the common ends of ``a`` and ``b``: ``(i, j, n)`` for a stretch in which ``a[i:i+n]`` and ``b[j:j+n]`` are equal
+    ends, one-to-one groups, and ``(i, n, j, m)`` for an irregular group of ``a[i:i+n]`` and ``b[j:j+m]``. The last ends are equal.
     """
-    found: list[Span] = []
+    runs: list[Run] = []
+    groups: list[Group] = []
     i = j = 0
     size = len(a)
     while i < size:
@@ -59,7 +59,7 @@ def spans(a: list[int], b: list[int]) -> list[Span]:
                     run = min(run + step, size - i)
             while i + run < size and a[i + run] == b[j + run]:
                 run += 1
-            found.append((i, run, j, run))
+            runs.append((i, j, run))
             i += run
             j += run
         else:
@@ -71,28 +71,49 @@ def spans(a: list[int], b: list[int]) -> list[Span]:
                 else:
                     y += 1
                     other = b[y]
-            found.append((i, x + 1 - i, j, y + 1 - j))
+            groups.append((i, x + 1 - i, j, y + 1 - j))
             i, j = x + 1, y + 1
-    return found
-
-
-def links_of(a: list[int], b: list[int], span: Span, ids_a: list[int], ids_b: list[int], left: list[int], right: list[int]) -> bool:
-    """Append the ids of overlapping tokens of a span, pair by pair; true if the span is a stretch of one-to-one groups."""
-    i, n, j, m = span
-    if a[i] == b[j]:
-        left += ids_a[i:i + n]
-        right += ids_b[j:j + m]
-        return True
-    x, y = i, j
-    while True:
-        left.append(ids_a[x])
-        right.append(ids_b[y])
-        if a[x] < b[y]:
-            x += 1
-        elif a[x] > b[y]:
-            y += 1
-        else:
-            return False
+    return runs, groups
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges ``start .. start + length``, one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+
+
+@dataclass
+class Alignment:
+    """Two sequences of ends cut into groups: where groups end, and the index pairs of overlapping tokens.
+
+    Stretches link their tokens one to one. Inside irregular groups every stretch of bytes between two neighbouring ends of either
+    sequence belongs to one token on each side, and those are the links.
+    """
+
+    closes_a: np.ndarray
+    closes_b: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+
+    @classmethod
+    def of(cls, a: np.ndarray, b: np.ndarray) -> Alignment:
+        runs, groups = spans(a.tolist(), b.tolist())
+        i, j, n = np.array(runs, dtype=np.int64).reshape(-1, 3).T
+        of_a, of_b = _ranges(i, n), _ranges(j, n)
+        i, n, j, m = np.array(groups, dtype=np.int64).reshape(-1, 4).T
+        odd_a, odd_b = _ranges(i, n), _ranges(j, m)
+        ends = np.union1d(a[odd_a], b[odd_b])
+        closes_a, closes_b = np.zeros(len(a), dtype=bool), np.zeros(len(b), dtype=bool)
+        closes_a[of_a] = closes_b[of_b] = closes_a[i + n - 1] = closes_b[j + m - 1] = True
+        return cls(closes_a, closes_b, np.concatenate([of_a, odd_a[np.searchsorted(a[odd_a], ends)]]),
+                   np.concatenate([of_b, odd_b[np.searchsorted(b[odd_b], ends)]]))
+
+    def places(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where each token stands when groups are written one after the other, the tokens of ``a`` before those of ``b``."""
+        group_a = np.cumsum(self.closes_a) - self.closes_a
+        group_b = np.cumsum(self.closes_b) - self.closes_b
+        whole_a, whole_b = np.append(0, np.flatnonzero(self.closes_a) + 1), np.append(0, np.flatnonzero(self.closes_b) + 1)
+        return np.arange(len(group_a)) + whole_b[group_a], np.arange(len(group_b)) + whole_a[group_b + 1]
 
 
 def _byte_chars() -> dict[str, int]:
@@ -125,9 +146,9 @@ class TokenizerPair:
         self.bytes_a = [bytes(chars[c] for c in self.a.id_to_token(i)) if set(self.a.id_to_token(i)) <= chars.keys() else b"" for i in range(size)]
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.cuts = not any(" " in p.lstrip(b" ").decode("utf-8", "replace") for p in self.bytes_b)
-        self.digits = [str(i) for i in range(max(size, len(self.bytes_b)))]
-        self.before, self.after = [f"{d}|" for d in self.digits], [f"{d};" for d in self.digits]
-        self.lengths_a, self.lengths_b = [len(t) for t in self.bytes_a], [len(t) for t in self.bytes_b]
+        size = max(size, len(self.bytes_b))
+        self.followed = {sign: np.array([f"{i}{sign}" for i in range(size)], dtype=object) for sign in ",|;"}
+        self.lengths_a, self.lengths_b = (np.array([len(t) for t in table], dtype=np.int64) for table in (self.bytes_a, self.bytes_b))
 
     def _piece(self, i: int) -> bytes:
         if self.b.is_byte(i):
@@ -164,26 +185,14 @@ class TokenizerPair:
             ids_b += b
         return ids_a, ids_b
 
-    def align(self, a: list[int], b: list[int]) -> tuple[int, list[int], list[int], str]:
+    def align(self, a: list[int], b: list[int]) -> tuple[int, np.ndarray, np.ndarray, str]:
         """The number of groups, the linked ids of A and of B, and the groups as text."""
-        ends_a = list(accumulate(map(self.lengths_a.__getitem__, a)))
-        ends_b = list(accumulate(map(self.lengths_b.__getitem__, b)))
-        before, after, digits = list(map(self.before.__getitem__, a)), list(map(self.after.__getitem__, b)), self.digits
-        left: list[int] = []
-        right: list[int] = []
-        shown: list[str] = []
-        groups = 0
-        for span in spans(ends_a, ends_b):
-            i, n, j, m = span
-            if links_of(ends_a, ends_b, span, a, b, left, right):
-                groups += n
-                pairs = [""] * (2 * n)
-                pairs[0::2], pairs[1::2] = before[i:i + n], after[j:j + n]
-                shown += pairs
-            else:
-                groups += 1
-                shown.append(",".join([digits[k] for k in a[i:i + n]]) + "|" + ",".join([digits[k] for k in b[j:j + m]]) + ";")
-        return groups, left, right, "".join(shown)[:-1]
+        ids_a, ids_b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        found = Alignment.of(np.cumsum(self.lengths_a[ids_a]), np.cumsum(self.lengths_b[ids_b]))
+        shown = np.empty(len(a) + len(b), dtype=object)
+        for ids, closes, at, last in zip((ids_a, ids_b), (found.closes_a, found.closes_b), found.places(), "|;", strict=True):
+            shown[at] = np.where(closes, self.followed[last][ids], self.followed[","][ids])
+        return int(found.closes_a.sum()), ids_a[found.left], ids_b[found.right], "".join(shown.tolist())[:-1]
 
 
 _PAIRS: dict[int, TokenizerPair] = {}
@@ -220,7 +229,7 @@ def align_documents(docs: DataFrame, byte_level: str, pieces: bytes, ranks: tupl
                     rows.append((uid, doc_id, 0, 0, 0, 0, "", [], []))
                     continue
                 groups, left, right, shown = both.align(a, b)
-                keys, times = np.unique((np.array(left, dtype=np.int64) << ID_BITS) + np.array(right, dtype=np.int64), return_counts=True)
+                keys, times = np.unique((left << ID_BITS) + right, return_counts=True)
                 digest = hashlib.sha256(shown.encode()).hexdigest()
                 rows.append((uid, doc_id, len(a), len(b), groups, len(left), digest, keys, times.astype(np.int32)))
                 held += len(keys)

@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -88,12 +89,16 @@ def test_spans_are_the_common_ends(in_a, in_b):
     size = max(len(in_a), len(in_b)) + 1
     a = [k + 1 for k, x in enumerate(in_a) if x] + [size + 1]
     b = [k + 1 for k, x in enumerate(in_b) if x] + [size + 1]
-    left, right, groups = [], [], 0
-    for span in alignment.spans(a, b):
-        groups += span[1] if alignment.links_of(a, b, span, range(len(a)), range(len(b)), left, right) else 1
-    assert groups == len(set(a) & set(b))
+    found = alignment.Alignment.of(np.array(a), np.array(b))
+    assert found.closes_a.sum() == found.closes_b.sum() == len(set(a) & set(b))
+    assert [x for x, closed in zip(a, found.closes_a, strict=True) if closed] == sorted(set(a) & set(b))
     overlaps = [(i, j) for i in range(len(a)) for j in range(len(b)) if max([0, *a][i], [0, *b][j]) < min(a[i], b[j])]
-    assert list(zip(left, right, strict=True)) == overlaps
+    assert sorted(zip(found.left.tolist(), found.right.tolist(), strict=True)) == overlaps
+    assert sorted(np.concatenate(found.places())) == list(range(len(a) + len(b)))
+    runs, groups = alignment.spans(a, b)
+    assert all(a[i:i + n] == b[j:j + n] for i, j, n in runs) and all(a[i] != b[j] and a[i + n - 1] == b[j + m - 1] for i, n, j, m in groups)
+    # a stretch is jumped as a whole: between two of them stands an irregular group
+    assert len(runs) <= len(groups) + 1
 
 
 PIECES_OF_TEXT = ["word", "Words,", "12", " ", "  ", "\n", "\t", "é", "日本", "語", ".", "don't", "\x1c", "\x85", "\u2003", "\u00a0", "\u200b", "\u180e", "_", "x" * 30, "<|endoftext|>"]
