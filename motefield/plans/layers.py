@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from functools import cached_property
+from graphlib import TopologicalSorter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timing import as_ts
 from ..operators import dedup, dimensional, enrich, marts, staging, validation, vault
+from ..sources.tables import read_or_none
 
 
 @dataclass
@@ -148,36 +151,89 @@ class Layers:
         return vault.sat_reading_metrics(self.staged, self.as_of)
 
 
-# written in this order: every dataset after those it reads
-TABLES = {
-    "int_readings_deduped": "deduped",
-    "int_readings_validated": "validated",
-    "int_readings_enriched": "enriched",
-    "int_quarantined_readings": "quarantined",
-    "int_late_arriving_readings": "late",
-    "dim_clusters": "dim_clusters",
-    "dim_devices": "dim_devices",
-    "fct_hourly_readings": "hourly",
-    "fct_device_health": "health",
-    "fct_anomalies": "anomalies",
-    "fct_data_quality": "quality",
-    "rpt_fleet_overview": "overview",
+@dataclass(frozen=True)
+class Model:
+    """A written table: the dataset it holds and the tables it is made from."""
+
+    dataset: str
+    inputs: tuple[str, ...] = ()
+
+
+MODELS = {
+    "int_readings_deduped": Model("deduped"),
+    "int_readings_validated": Model("validated", ("int_readings_deduped",)),
+    "int_readings_enriched": Model("enriched", ("int_readings_validated",)),
+    "int_quarantined_readings": Model("quarantined", ("int_readings_validated",)),
+    "int_late_arriving_readings": Model("late", ("int_readings_deduped",)),
+    "dim_clusters": Model("dim_clusters"),
+    "dim_devices": Model("dim_devices"),
+    "fct_hourly_readings": Model("hourly", ("int_readings_enriched",)),
+    "fct_device_health": Model("health", ("int_readings_enriched",)),
+    "fct_anomalies": Model("anomalies", ("int_readings_validated",)),
+    "fct_data_quality": Model("quality", ("int_readings_validated",)),
+    "rpt_fleet_overview": Model("overview", ("fct_device_health", "fct_data_quality", "fct_anomalies")),
+    "obt_readings": Model("obt", ("int_readings_enriched",)),
+    "dim_cluster": Model("dim_cluster"),
+    "dim_device_type": Model("dim_device_type"),
+    "dim_device_normalized": Model("dim_device_normalized", ("dim_cluster", "dim_device_type")),
+    "dim_time": Model("dim_time"),
+    "fct_readings_normalized": Model("fct_normalized", ("int_readings_enriched", "dim_device_normalized", "dim_time")),
+    "hub_device": Model("hub_device"),
+    "hub_sensor_reading": Model("hub_reading"),
+    "link_device_reading": Model("link"),
+    "sat_device_details": Model("sat_device"),
+    "sat_reading_metrics": Model("sat_reading"),
 }
 
 
-def run_models(spark: SparkSession, layers: Layers, path: str) -> dict[str, DataFrame]:
-    """Write the batch models below ``path`` and return the written tables by name.
+def in_order(models: dict[str, Model] = MODELS) -> list[str]:
+    """Every table after those it is made from; a circle is an error."""
+    return list(TopologicalSorter({name: model.inputs for name, model in models.items()}).static_order())
 
-    Each table is read back for the ones after it, so every model is computed once and a lost executor
-    repeats one stage, not the whole graph.
+
+def select_models(*wanted: str, models: dict[str, Model] = MODELS) -> list[str]:
+    """The tables asked for, in order: ``name``, ``+name`` with all it is made from, ``name+`` with all made from it. Nothing asked means all."""
+    after = {name: [other for other, model in models.items() if name in model.inputs] for name in models}
+
+    def reached(name: str, steps: Callable[[str], Iterable[str]]) -> set[str]:
+        found, todo = set(), [name]
+        while todo:
+            for other in steps(todo.pop()):
+                if other not in found:
+                    found.add(other)
+                    todo.append(other)
+        return found
+
+    chosen: set[str] = set() if wanted else set(models)
+    for asked in wanted:
+        name = asked.strip("+")
+        if name not in models:
+            raise KeyError(f"no model {name}")
+        chosen.add(name)
+        if asked.startswith("+"):
+            chosen |= reached(name, lambda n: models[n].inputs)
+        if asked.endswith("+"):
+            chosen |= reached(name, lambda n: after[n])
+    return [name for name in in_order(models) if name in chosen]
+
+
+def run_models(spark: SparkSession, layers: Layers, path: str, *wanted: str) -> dict[str, DataFrame]:
+    """Write the models asked for (see :func:`select_models`) below ``path`` and return the written tables by name.
+
+    Each table is read back for the ones after it, so every model is computed once and a lost executor repeats one stage, not the
+    whole graph. What a model is made from and was not asked for is read from an earlier run, or computed if there is none.
     """
     layers.__dict__["as_of"] = as_ts(layers.now) if layers.now is not None else F.lit(
         layers.staged.agg(F.max("loaded_at")).first()[0]
     ).cast("timestamp_ntz")
     layers.split.setdefault("profile", None)
-    written = {}
-    for name, attribute in TABLES.items():
+    chosen, written = select_models(*wanted), {}
+    for name in in_order():
         target = f"{path.rstrip('/')}/{name}"
-        getattr(layers, attribute).write.mode("overwrite").parquet(target)
-        written[name] = layers.__dict__[attribute] = spark.read.parquet(target)
+        dataset = MODELS[name].dataset
+        if name in chosen:
+            getattr(layers, dataset).write.mode("overwrite").parquet(target)
+            written[name] = layers.__dict__[dataset] = spark.read.parquet(target)
+        elif wanted and (stored := read_or_none(spark, target)) is not None:
+            layers.__dict__[dataset] = stored
     return written

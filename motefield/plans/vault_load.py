@@ -35,10 +35,11 @@ LOADS = {
 
 @dataclass
 class VaultTables:
-    """The five tables below ``path``; :meth:`apply` takes one batch of staged readings."""
+    """The tables of ``names`` below ``path``; :meth:`apply` takes one batch of staged readings."""
 
     spark: SparkSession
     path: str
+    names: tuple[str, ...] = tuple(LOADS)
 
     def _at(self, name: str) -> str:
         return f"{self.path.rstrip('/')}/{name}"
@@ -52,7 +53,7 @@ class VaultTables:
 
         Per table the filters of its index are read and the folders of keys that may hold one of the batch, not the table.
         """
-        for name, load in LOADS.items():
+        for name, load in ((name, LOADS[name]) for name in self.names):
             index, own = KeyIndex(self.spark, f"{self._at('index')}/{name}"), f"{self._at(name)}/batch={batch_id:09d}"
             rows = load.build(batch, as_of).withColumn("_key", F.concat_ws("-", *load.key))
             fresh = index.unknown(rows, "_key", batch_id)

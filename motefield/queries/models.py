@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import dedup, dimensional, enrich, history, vault
+from ..operators import dedup, dimensional, enrich, history, marts, vault
 from ..plans.layers import run_models
 from ..plans.vault_load import VaultTables
 from ..sources import tables
@@ -119,9 +119,9 @@ def hub_sensor_reading(d):
     return d.layers.hub_reading
 
 
-def _loaded_vault(d) -> VaultTables:
-    """The vault after three batches in load order, the second of them given twice."""
-    tables = VaultTables(d.spark, d.scratch("vault"))
+def _loaded_vault(d, *names: str) -> VaultTables:
+    """Tables of the vault after three batches in load order, the second of them given twice."""
+    tables = VaultTables(d.spark, d.scratch("vault"), names)
     edges = ["2024-01-10", "2024-01-20"]
     loaded = F.col("loaded_at")
     low, high = (F.lit(e).cast("timestamp_ntz") for e in edges)
@@ -135,7 +135,7 @@ def _loaded_vault(d) -> VaultTables:
     SELECT DISTINCT 'device' AS hub, {key('device_id')} AS hash_key, device_id AS business_key FROM staged
     UNION ALL SELECT DISTINCT 'reading', {key('reading_id')}, reading_id FROM staged""")
 def hubs_in_batches(d):
-    tables = _loaded_vault(d)
+    tables = _loaded_vault(d, "hub_device", "hub_sensor_reading")
     devices = tables.read("hub_device").select(F.lit("device").alias("hub"), F.col("hub_device_hk").alias("hash_key"), F.col("device_id").alias("business_key"))
     return devices.unionByName(tables.read("hub_sensor_reading").select(
         F.lit("reading").alias("hub"), F.col("hub_reading_hk").alias("hash_key"), F.col("reading_id").alias("business_key")))
@@ -144,24 +144,24 @@ def hubs_in_batches(d):
 @query("j7_link_in_batches", f"""
     SELECT {key('device_id', 'reading_id')} AS link_device_reading_hk, hub_device_hk, hub_reading_hk, reading_ts FROM hubs""")
 def link_in_batches(d):
-    return _loaded_vault(d).read("link_device_reading").select("link_device_reading_hk", "hub_device_hk", "hub_reading_hk", "reading_ts")
+    return _loaded_vault(d, "link_device_reading").read("link_device_reading").select("link_device_reading_hk", "hub_device_hk", "hub_reading_hk", "reading_ts")
 
 
 @query("j8_sat_device_in_batches", """
     SELECT DISTINCT device_id, firmware_version, error_profile FROM staged""")
 def sat_device_in_batches(d):
-    return _loaded_vault(d).read("sat_device_details").select("device_id", "firmware_version", "error_profile")
+    return _loaded_vault(d, "sat_device_details").read("sat_device_details").select("device_id", "firmware_version", "error_profile")
 
 
 @query("j9_sat_reading_in_batches", "SELECT reading_id, device_id, reading_ts, temperature, battery_pct FROM deduped", doubles="temperature battery_pct")
 def sat_reading_in_batches(d):
-    return _loaded_vault(d).read("sat_reading_metrics").select("reading_id", "device_id", "reading_ts", "temperature", "battery_pct")
+    return _loaded_vault(d, "sat_reading_metrics").read("sat_reading_metrics").select("reading_id", "device_id", "reading_ts", "temperature", "battery_pct")
 
 
 @query("j10_vault_by_days", VAULT_ANSWER)
 def vault_by_days(d):
     """The vault's answer from tables laid out by reading day."""
-    return _loaded_vault(d).average_temperature(d.registry, d.as_of)
+    return _loaded_vault(d, "hub_device", "link_device_reading", "sat_reading_metrics").average_temperature(d.registry, d.as_of)
 
 
 @query("j7_link_device_reading", f"""
@@ -321,6 +321,26 @@ def run_all_models(d):
     return run_models(d.spark, d.layers, d.scratch("models"))["rpt_fleet_overview"]
 
 
+@query("j17_model_rows", """
+    SELECT 'obt_readings' AS model, count(*) AS row_count FROM enriched UNION ALL SELECT 'fct_hourly_readings', count(*) FROM hourly
+    UNION ALL SELECT 'fct_device_health', count(*) FROM health UNION ALL SELECT 'fct_anomalies', count(*) FROM anomalies
+    UNION ALL SELECT 'fct_readings_normalized', count(*) FROM enriched UNION ALL SELECT 'hub_sensor_reading', count(DISTINCT reading_id) FROM staged
+    UNION ALL SELECT 'hub_device', count(DISTINCT device_id) FROM staged UNION ALL SELECT 'link_device_reading', count(*) FROM hubs
+    UNION ALL SELECT 'sat_reading_metrics', count(*) FROM deduped UNION ALL SELECT 'int_late_arriving_readings', count(*) FROM late""")
+def model_rows(d):
+    """Rows of tables of all four modelling styles after one run over the whole graph."""
+    written = run_models(d.spark, d.layers, d.scratch("models"))
+    names = ("obt_readings", "fct_hourly_readings", "fct_device_health", "fct_anomalies", "fct_readings_normalized", "hub_sensor_reading", "hub_device",
+             "link_device_reading", "sat_reading_metrics", "int_late_arriving_readings")
+    return marts.model_counts({name: written[name] for name in names})
+
+
+@query("j17_selected_models", "SELECT * FROM anomalies", doubles="observed_value expected_min expected_max zscore")
+def selected_models(d):
+    """One table with all it is made from."""
+    return run_models(d.spark, d.layers, d.scratch("models"), "+fct_anomalies")["fct_anomalies"]
+
+
 @query("j18_compact", """
     SELECT device_id, firmware_version, error_profile, reading_ts FROM staged
     QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY reading_ts DESC, reading_id DESC, loaded_at DESC) = 1""")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from motefield.plans import incremental
 from motefield.plans.incremental import LOAD_DAY, IncrementalLayers
-from motefield.plans.layers import TABLES, Layers, run_models
+from motefield.plans.layers import MODELS, Layers, Model, in_order, run_models, select_models
 from motefield.sources.tables import is_written, remove
 from motefield.streaming.rolling import DAY, stored_history
 
@@ -99,11 +99,31 @@ def test_rescored_batches_with_missing_times_and_devices(data, frame, part):
 def test_all_models_are_written_in_order(data):
     layers = Layers(data.staged, data.registry, data.thresholds, data.clusters)
     written = run_models(data.spark, layers, data.scratch("models"))
-    assert list(written) == list(TABLES)
+    assert list(written) == in_order() and set(written) == set(MODELS)
+    assert all(order.index(i) < order.index(name) for order in [list(written)] for name, model in MODELS.items() for i in model.inputs)
     assert written["int_readings_deduped"].count() == 1000
     assert (written["int_readings_enriched"].count() + written["int_quarantined_readings"].count()) == 1000
 
 
+def test_a_selection_of_models(data):
+    path = data.scratch("models")
+    some = run_models(data.spark, Layers(data.staged, data.registry, data.thresholds, data.clusters), path, "+fct_anomalies")
+    assert list(some) == ["int_readings_deduped", "int_readings_validated", "fct_anomalies"]
+    later = Layers(data.staged.limit(0), data.registry, data.thresholds, data.clusters, now="2024-02-01 00:00:00")
+    rest = run_models(data.spark, later, path, "int_readings_enriched+")  # made from the stored validated rows
+    assert set(rest) == {"int_readings_enriched", "fct_hourly_readings", "fct_device_health", "obt_readings", "fct_readings_normalized", "rpt_fleet_overview"}
+    assert rest["fct_hourly_readings"].count() == 816
+
+
+def test_graphs_are_checked():
+    graph = {"a": Model("a", ("b",)), "b": Model("b", ("c",)), "c": Model("c")}
+    assert in_order(graph) == ["c", "b", "a"] and select_models("b+", models=graph) == ["b", "a"] and select_models("+b", models=graph) == ["c", "b"]
+    with pytest.raises(KeyError):
+        select_models("d", models=graph)
+    with pytest.raises(ValueError):
+        in_order(graph | {"c": Model("c", ("a",))})
+
+
 def test_a_batch_reads_no_day_before_its_first(data):
     """Stored days before the first reading of a batch are pruned; only their last rows per device come from the tails."""
     path = data.scratch("state")
