@@ -42,7 +42,9 @@ def exact_quantiles(df: DataFrame, column: str, points: Sequence[float], rows_pe
     Rows are counted per value; values are cut into slices whose counts add up to ranks. So no task holds all values, and ties cost
     nothing. NULLs are left out; without values all quantiles are NULL.
     """
-    counts = df.filter(F.col(column).isNotNull()).groupBy(F.lit(1).alias("_all"), F.col(column).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    values = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    # all values are one key; as it is computed from them, the cuts are joined by it and not by a nested loop
+    counts = values.withColumn("_all", F.least(F.signum(F.abs("_v")), F.lit(0.0)).cast("int"))
     parts = Slices(counts, ["_all"], ["_v"], rows_per_slice).sliced(counts)
     upto = Window.partitionBy("_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
