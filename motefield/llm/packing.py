@@ -41,10 +41,11 @@ class WordEncoder:
     for blanks and the tokenizer does not, or with a mark such as ``<|endoftext|>``, go to the library whole.
     """
 
+    ODD = regex.compile("[\x1c-\x1f]")
+
     def __init__(self, definition: str, cache_words: int = CACHE_WORDS):
         self.tokenizer = Tokenizer.from_str(definition)
-        marks = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = regex.compile("|".join(["[\x1c-\x1f]", *map(regex.escape, marks)]))
+        self.marks = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         split = json.loads(definition)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(split).findall
         self.byte_chars = _byte_chars()
@@ -52,6 +53,9 @@ class WordEncoder:
         self.parts: dict[str, bytes] = {}
         self.cache_words = cache_words
 
+    def _is_odd(self, text: str) -> bool:
+        return self.ODD.search(text) is not None or any(mark in text for mark in self.marks)
+
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
@@ -86,7 +90,8 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         for part in _portions(texts):
-            plain = ["" if self.odd.search(t) else t for t in part]
+            odd = [self._is_odd(t) for t in part]
+            plain = ["" if o else t for t, o in zip(part, odd, strict=True)]
             lists = pc.utf8_split_whitespace(pa.array(plain, pa.large_string()))
             words = lists.flatten().dictionary_encode()
             ids = self._encode_words(words.dictionary.to_pylist())
@@ -94,8 +99,8 @@ class WordEncoder:
             pool, first = np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(lengths) - lengths
             which = words.indices.to_numpy(zero_copy_only=False)
             bounds = lists.offsets.to_numpy()
-            for text, a, b in zip(part, bounds[:-1], bounds[1:], strict=True):
-                if self.odd.search(text):
+            for text, whole, a, b in zip(part, odd, bounds[:-1], bounds[1:], strict=True):
+                if whole:
                     yield np.frombuffer(self._ids(text), dtype="<u4")
                 else:
                     yield _gather(pool, first, lengths, which[a:b])
