@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,15 +29,15 @@ from .workspace import Workspace
 WINDOW = 4096
 END_ID = 2
 CACHE_WORDS = 250_000
-BATCH_CHARS = 2_000_000
-BATCH_ROWS = 500
+BATCH_CHARS = 4_000_000
+BATCH_ROWS = 1000
 PIECES = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, task int, slot long"
 
 
 class WordEncoder:
     """Encodes with a byte-level tokenizer whose text pieces never reach over white space, word by word.
 
-    The distinct words of a batch are looked up in a cache that is emptied when full. A new word is normalised, cut by the
+    The distinct words of a batch are looked up in a cache of two generations: when the newer is full, the older goes. A new word is normalised, cut by the
     tokenizer's own pattern, and each piece goes to the library's merge model. Texts with the control characters that Arrow takes
     for blanks and the tokenizer does not, or with a mark such as ``<|endoftext|>``, go to the library whole.
     """
@@ -45,12 +46,15 @@ class WordEncoder:
 
     def __init__(self, definition: str, cache_words: int = CACHE_WORDS):
         self.tokenizer = Tokenizer.from_str(definition)
+        self.merge = self.tokenizer.model.tokenize
         self.marks = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         split = json.loads(definition)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(split).findall
         self.byte_chars = _byte_chars()
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
         self.cache_words = cache_words
 
     def _is_odd(self, text: str) -> bool:
@@ -60,10 +64,10 @@ class WordEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
+        ids = self.parts.get(part) or self.older_parts.get(part)
         if ids is None:
             shown = part if part.isascii() else "".join(map(self.byte_chars.__getitem__, part.encode()))
-            ids = self.parts[part] = b"".join(t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(shown))
+            ids = self.parts[part] = array("I", [t.id for t in self.merge(shown)]).tobytes()
         return ids
 
     def _word(self, word: str) -> bytes:
@@ -76,14 +80,16 @@ class WordEncoder:
         return b"".join(map(self._part, self.pieces(word)))
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        for cache in (self.words, self.parts):
-            if len(cache) > self.cache_words:
-                cache.clear()
-        cache, found = self.words, []
+        if len(self.words) > self.cache_words // 2:
+            self.words, self.older_words = {}, self.words
+        if len(self.parts) > self.cache_words // 2:
+            self.parts, self.older_parts = {}, self.parts
+        cache, older, found = self.words, self.older_words, []
         for word in words:
             ids = cache.get(word)
             if ids is None:
-                ids = cache[word] = self._word(word)
+                ids = older.get(word)
+                ids = cache[word] = self._word(word) if ids is None else ids
             found.append(ids)
         return found
 
