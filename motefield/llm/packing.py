@@ -29,8 +29,8 @@ from .workspace import Workspace
 WINDOW = 4096
 END_ID = 2
 CACHE_WORDS = 250_000
-BATCH_CHARS = 4_000_000
-BATCH_ROWS = 1000
+BATCH_CHARS = 2_000_000
+BATCH_ROWS = 500
 PIECES = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, task int, slot long"
 
 
