@@ -29,8 +29,8 @@ from .workspace import Workspace
 WINDOW = 4096
 END_ID = 2
 CACHE_WORDS = 250_000
+#: Characters encoded together, and rows taken at a time for each 4,000 of them: more of them share words and need more memory.
 BATCH_CHARS = 2_000_000
-BATCH_ROWS = 500
 PIECES = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, task int, slot long"
 
 
@@ -93,9 +93,9 @@ class WordEncoder:
             found.append(ids)
         return found
 
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def encode(self, texts: list[str], batch_chars: int = BATCH_CHARS) -> Iterator[np.ndarray]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        for part in _portions(texts):
+        for part in _portions(texts, batch_chars):
             odd = [self._is_odd(t) for t in part]
             plain = ["" if o else t for t, o in zip(part, odd, strict=True)]
             lists = pc.utf8_split_whitespace(pa.array(plain, pa.large_string()))
@@ -119,12 +119,12 @@ def _byte_chars() -> list[str]:
     return [chr(b if b in signs else next(others)) for b in range(256)]
 
 
-def _portions(texts: list[str]) -> Iterator[list[str]]:
+def _portions(texts: list[str], batch_chars: int) -> Iterator[list[str]]:
     part, size = [], 0
     for text in texts:
         part.append(text)
         size += len(text)
-        if size >= BATCH_CHARS:
+        if size >= batch_chars:
             yield part
             part, size = [], 0
     if part:
@@ -150,17 +150,19 @@ def encoder(definition: str) -> WordEncoder:
     return _ENCODERS[key]
 
 
-def cut_pieces(docs: DataFrame, definition: str, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cut_pieces(docs: DataFrame, definition: str, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+               batch_chars: int = BATCH_CHARS) -> DataFrame:
     """A row for each piece. ``slot`` is its rank among the pieces of its length and ``task``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task, slots = TaskContext.get().partitionId(), np.zeros(window + 1, dtype=np.int64)
-        for batch in (whole.slice(at, BATCH_ROWS) for whole in batches for at in range(0, whole.num_rows, BATCH_ROWS)):
+        some = max(batch_chars // 4000, 1)
+        for batch in (whole.slice(at, some) for whole in batches for at in range(0, whole.num_rows, some)):
             rows: list[tuple] = []
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(definition).encode(texts), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(definition).encode(texts, batch_chars), strict=True):
                 ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                 for start in range(0, len(ids), window):
                     piece = ids[start:start + window]
@@ -233,13 +235,14 @@ def plan_windows(counts: dict[int, int], window: int = WINDOW) -> dict[int, list
     return plan
 
 
-def pack(docs: DataFrame, definition: str, work: Workspace, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, definition: str, work: Workspace, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+         batch_chars: int = BATCH_CHARS) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     ``definition`` is the JSON of a tokenizer. A null text is empty and has the closing id only. Ids of documents may be null or
     repeated; such rows are packed like others. A document is one row, so its ids fit into one task. No rows give no rows.
     """
-    pieces = work.settle(cut_pieces(docs, definition, window, id_col, text_col), "pieces")
+    pieces = work.settle(cut_pieces(docs, definition, window, id_col, text_col, batch_chars), "pieces")
     by_task = work.settle(pieces.groupBy("task", "length").count(), "by-task")
     counts = {r["length"]: r["pieces"] for r in by_task.groupBy("length").agg(F.sum("count").alias("pieces")).collect()}
     plan = plan_windows(counts, window)

@@ -47,7 +47,8 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), _bytes("word_bpe_49k.json").decode(), Workspace(spark, "packing"))
+    docs = _table(spark, sf_dir, "documents")  # alone on its executors, it takes larger batches than the pipeline's stage
+    return packing.pack(docs, _bytes("word_bpe_49k.json").decode(), Workspace(spark, "packing"), batch_chars=8_000_000)
 
 
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
