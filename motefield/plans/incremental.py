@@ -1,14 +1,18 @@
 """The layers kept current batch by batch, with the result of a full run.
 
 A reading keeps its first load. Scores are recomputed for new readings and for stored readings whose frame
-they changed; facts are recomputed for every day that has such a row, by replacing day partitions. What a batch changes
-is written to a folder of its own before it is moved in, so a batch that breaks off is finished when it is repeated.
+they changed; facts are recomputed for every day that has such a row, by replacing day partitions. What a batch changes, and what
+it keeps of the days it replaces, is written to folders of its own before it is moved in, so a batch that breaks off is finished when
+it is repeated. Tables that do not read each other are written at the same time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +25,15 @@ from ..schemas import STAGED, columns
 from ..streaming.rolling import DAY, keep_tails, rescore, stored_history
 
 LOAD_DAY = "load_day"
+WRITERS = 4
+
+
+def together(*work: Callable[[], None]) -> None:
+    """Run writes of different tables at the same time: one fills the cores that the last tasks of another leave. The first error is raised
+    when all are done."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        for done in [pool.submit(inheritable_thread_target(one)) for one in work]:
+            done.result()
 
 
 @dataclass
@@ -52,34 +65,37 @@ class IncrementalLayers:
         batch.select(*columns(STAGED)).withColumn(LOAD_DAY, F.to_date("loaded_at")) \
             .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(LOAD_DAY).parquet(own)
         staged = self.spark.read.parquet(own).select(*columns(STAGED))
-        changed, merged = (self._at(f"{name}/batch={batch_id:09d}") for name in ("changed", "merged"))
-        if not is_written(self.spark, merged):  # else the batch broke off while its days were moved in
-            self._rescored(staged, batch_id).write.mode("overwrite").parquet(changed)
+        fresh, changed, kept = (self._at(f"{name}/batch={batch_id:09d}") for name in ("fresh", "changed", "kept"))
+        if not is_written(self.spark, kept):  # else the batch broke off while its days were moved in
+            dedup(self._index.unknown(staged, "reading_id", batch_id)).write.mode("overwrite").parquet(fresh)
+            self._rescored(self.spark.read.parquet(fresh), batch_id).write.mode("overwrite").parquet(changed)
             rows, old = self.spark.read.parquet(changed), self.read("validated")
+            rest = rows.filter(F.lit(False))
             if old is not None:
-                kept = enrich.without(self._days("validated", touched_partitions(rows, DAY)), rows, "reading_id")
-                rows = rows.unionByName(kept.select(*rows.columns))
-            rows.write.mode("overwrite").parquet(merged)
+                rest = enrich.without(self._days("validated", touched_partitions(rows, DAY)), rows, "reading_id").select(*rows.columns)
+            rest.write.mode("overwrite").parquet(kept)
         changed_rows = self.spark.read.parquet(changed)
         days = touched_partitions(changed_rows, DAY)
+        work = [lambda: self._index.add(changed_rows.filter(F.col("batch_id") == batch_id), "reading_id", batch_id)]
         if days:
-            overwrite_partitions(self.spark.read.parquet(merged), self._at("validated"), DAY, LOAD_DAY)
-            keep_tails(self.spark, self._at("validated"), self._at("tails"), days, [*columns(STAGED), "batch_id"])
-            self._facts(days)
-        self._index.add(changed_rows.filter(F.col("batch_id") == batch_id), "reading_id", batch_id)
-        self._count_files(changed_rows, staged)
-        remove(self.spark, merged, changed)
-
-    def _rescored(self, staged: DataFrame, batch_id: int) -> DataFrame:
+            merged = changed_rows.unionByName(self.spark.read.schema(changed_rows.schema).parquet(kept))
+            overwrite_partitions(merged, self._at("validated"), DAY, LOAD_DAY)
+            names = [*columns(STAGED), "batch_id"]
+            work += [*self._facts(days), lambda: keep_tails(self.spark, self._at("validated"), self._at("tails"), days, names)]
+        together(*work, lambda: self._count_files(changed_rows, staged))
+        remove(self.spark, kept, changed, fresh)
+
+    def _rescored(self, fresh: DataFrame, batch_id: int) -> DataFrame:
         """New readings and stored ones whose frames they change, validated; days before the first one are not read for scores."""
         names = [*columns(STAGED), "batch_id"]
-        old = self.read("validated")
-        fresh, history = self._index.unknown(dedup(staged), "reading_id", batch_id), None
-        if old is not None:  # rows of this batch come again when it is repeated
-            low = staged.agg(F.min(F.to_date("reading_ts"))).first()[0]
+        places = fresh.select("device_id", "reading_ts", "reading_id")
+        history = None
+        if self.read("validated") is not None:  # rows of this batch come again when it is repeated
+            low = fresh.agg(F.min(F.to_date("reading_ts"))).first()[0]
             history = stored_history(self.spark, self._at("validated"), self._at("tails"), low, names)
             history = history.filter(F.col("batch_id") != batch_id)
-        scored = rescore(history, fresh.select(*columns(STAGED)).withColumn("batch_id", F.lit(batch_id)))
+            places = places.unionByName(history.select(*places.columns))
+        scored = rescore(history, fresh.select(*columns(STAGED)).withColumn("batch_id", F.lit(batch_id)), profile=places)
         flagged = validation.flag_ranges(scored, self.thresholds).withColumn("is_anomaly", flag_anomaly())
         return flagged.withColumns({
             "validation_error_count": validation.error_count(),
@@ -87,25 +103,33 @@ class IncrementalLayers:
             LOAD_DAY: F.to_date("loaded_at"),
         })
 
-    def _facts(self, days: list) -> None:
+    def _facts(self, days: list) -> list[Callable[[], None]]:
+        """The writes of all facts of the given days."""
         validated = self._days("validated", days)
         enriched = enrich.enrich(validated, self.registry)
-        facts = {
+        rows = {  # a row per reading or sensor: they lie by day as the validated rows do, so they are written from where they are read
             "enriched": (enriched, F.to_date("reading_ts")),
             "quarantined": (validation.quarantine(validated, F.col("loaded_at")), F.to_date("reading_ts")),
             "late": (validation.late_arrivals(validated), F.to_date("reading_ts")),
             "obt": (dimensional.obt(enriched, self.registry, self.thresholds), F.to_date("reading_ts")),
-            "hourly": (marts.hourly_readings(enriched), F.to_date("reading_hour")),
-            "health": (marts.device_health(enriched, profile=validated), F.col("report_date")),
             "anomalies": (marts.anomalies(validated, self.thresholds), F.to_date("detected_at")),
         }
+        groups = {
+            "hourly": (lambda: marts.hourly_readings(enriched), F.to_date("reading_hour")),
+            "health": (lambda: marts.device_health(enriched, profile=validated), F.col("report_date")),
+        }
         valid, bad = (touched_partitions(part, DAY) for part in validation.split_valid(validated))
-        filled = dict.fromkeys(facts, valid) | dict.fromkeys(("quarantined", "anomalies"), bad)
-        for name, (df, day) in facts.items():
+
+        def written(name: str) -> None:
+            df, day = rows[name] if name in rows else (groups[name][0](), groups[name][1])
+            filled = bad if name in ("quarantined", "anomalies") else valid
             old = self.read(name)
-            overwrite_partitions(df.withColumn(DAY, day), self._at(name), DAY)
+            overwrite_partitions(df.withColumn(DAY, day), self._at(name), DAY, rebalance=name in groups)
             if old is not None and name != "late":  # a late reading stays late
-                self._empty(name, old, [d for d in days if d not in filled[name]])
+                self._empty(name, old, [d for d in days if d not in filled])
+
+        # the longest first
+        return [lambda name=name: written(name) for name in ("obt", "enriched", "health", "hourly", "anomalies", "quarantined", "late")]
 
     def _empty(self, name: str, old: DataFrame, days: list) -> None:
         """Days whose last row of a fact went away, for instance because it became an anomaly."""

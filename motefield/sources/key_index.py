@@ -75,7 +75,7 @@ class KeyIndex:
 
     def _hashed(self, df: DataFrame, key: str) -> DataFrame:
         text = F.col(key).cast("string")
-        return df.select(text.alias("key"), F.xxhash64(text).alias("first"), F.xxhash64(text, F.lit(1)).alias("second")).distinct() \
+        return df.select(text.alias("key"), F.xxhash64(text).alias("first"), F.xxhash64(text, F.lit(1)).alias("second")) \
             .withColumn("part", F.pmod("second", F.lit(self.parts)).cast("int"))
 
     def _write(self, hashed: DataFrame, generation: Generation) -> None:
@@ -91,7 +91,7 @@ class KeyIndex:
 
     def add(self, rows: DataFrame, key: str, batch: int) -> None:
         """Make the keys of ``rows`` known as those of ``batch``; the same batch again replaces them."""
-        self._write(self._hashed(rows, key), Generation(0, batch, batch))
+        self._write(self._hashed(rows, key).distinct(), Generation(0, batch, batch))
         self._merge(batch)
 
     def _merge(self, batch: int) -> None:
@@ -124,14 +124,16 @@ class KeyIndex:
         maybe = self.maybe_known(rows, key, batch)
         if maybe is None:
             return None
-        probe = f"{self.path}/probe/batch={batch:09d}"
+        probe, found = (f"{self.path}/{table}/batch={batch:09d}" for table in ("probe", "known"))
         maybe.write.mode("overwrite").parquet(probe)
         maybe = self.spark.read.schema(maybe.schema).parquet(probe)
         cells = maybe.select("generation", "part").distinct().collect()  # at most generations x parts
         if not cells:
             return maybe.select("key")
-        return maybe.select("key").distinct().join(
+        known = maybe.select("key").distinct().join(
             self.keys_of([(c["generation"], c["part"]) for c in cells]).withColumnRenamed("key", "_known"), F.col("key").eqNullSafe(F.col("_known")), "left_semi")
+        known.write.mode("overwrite").parquet(found)  # a table of known size: few keys are broadcast, and the rows need not be shuffled
+        return self.spark.read.schema(known.schema).parquet(found)
 
     def keys_of(self, cells: list[tuple[str, int]]) -> DataFrame:
         """The keys in the given folders; no other folder is opened."""

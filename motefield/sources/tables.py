@@ -127,13 +127,14 @@ def append_version(df: DataFrame, path: str, committed_at: dt.datetime) -> int:
     return write_version(df, path, committed_at, found["parts"] if found else (), newest_version(df.sparkSession, path))
 
 
-def overwrite_partitions(df: DataFrame, path: str, *by: str) -> None:
+def overwrite_partitions(df: DataFrame, path: str, *by: str, rebalance: bool = True) -> None:
     """Replace exactly the partitions that occur in ``df``.
 
     Files are staged and moved in when the job commits, so ``df`` may read from ``path`` itself, and a
-    repeated run gives the same table.
+    repeated run gives the same table. Rows read from a table with the same partitions need no ``rebalance``: a task then holds
+    few of them and writes about as many files as it reads.
     """
-    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+    (df.hint("rebalance", *by) if rebalance else df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(*by).parquet(path)
 
 

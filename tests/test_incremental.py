@@ -156,6 +156,48 @@ def test_a_batch_that_broke_off_is_finished_from_its_log(data, monkeypatch):
         assert rounded(state.read(name)) == rounded(getattr(data.layers, name)), name
 
 
+def test_a_batch_finds_its_new_readings_once(data, monkeypatch):
+    """Scores and cuts start from the written new readings; rows that already lie by day are written without a shuffle; what a batch keeps
+    of its days is logged alone, and the logs are removed."""
+    path, sources, straight, logged = data.scratch("state"), [], {}, []
+    rescore, overwrite, finish = incremental.rescore, incremental.overwrite_partitions, incremental.remove
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def scored(history, new, **split):
+        sources.extend(plan(df) for df in (new, split["profile"]))
+        return rescore(history, new, **split)
+
+    def written(df, target, *by, **how):
+        straight[target.rsplit("/", 1)[1]] = not how.get("rebalance", True) and "Exchange hashpartitioning" not in plan(df)
+        overwrite(df, target, *by, **how)
+
+    def removed(spark, *paths):
+        logged.append([(spark.read.parquet(p).count(), p) for p in paths])
+        finish(spark, *paths)
+
+    for name, instead in (("rescore", scored), ("overwrite_partitions", written), ("remove", removed)):
+        monkeypatch.setattr(incremental, name, instead)
+    state = IncrementalLayers(data.spark, path, data.registry, data.thresholds)
+    early = F.col("loaded_at") < F.lit("2024-01-20").cast("timestamp_ntz")
+    for number, part in enumerate((data.staged.filter(early), data.staged.filter(~early))):
+        state.apply(part, number)
+    assert len(sources) == 4 and not any("row_number" in text or "Exchange" in text for text in sources)
+    assert {name for name, free in straight.items() if free} == {"enriched", "quarantined", "late", "obt", "anomalies"}
+    assert set(straight) == set(FACTS) | {"file_counters"}
+    (kept, _), (changed, _), (new, _) = logged[1]
+    assert logged[0][0][0] == 0 and 0 < kept < new <= changed and state.read("validated").count() == 1000
+    assert not any(is_written(data.spark, p) for batch in logged for _, p in batch)
+
+
+def test_writes_at_the_same_time_report_errors():
+    done = []
+    with pytest.raises(OSError):
+        incremental.together(lambda: (_ for _ in ()).throw(OSError("lost")), lambda: done.append(1))
+    assert done == [1]
+
+
 def test_the_vault_loads_in_batches(data):
     """Three batches, one of them twice, give the tables of one load; a day's answer reads the folders of its days."""
     from motefield.plans.vault_load import VaultTables

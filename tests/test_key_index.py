@@ -63,3 +63,14 @@ def test_a_batch_that_broke_off_while_it_was_added(spark, frame, tmp_path):
     assert ids(index.unknown(keys(frame, ["a", "b"]), "reading_id", 1)) == ["b"]
     index.add(keys(frame, ["b"]), "reading_id", 1)
     assert ids(index.unknown(keys(frame, ["a", "b", "c"]), "reading_id", 2)) == ["c"]
+
+
+def test_few_known_keys_move_no_rows(spark, tmp_path):
+    """The known keys are a table of known size, so that the rows of a load are not shuffled to leave them out."""
+    index = KeyIndex(spark, str(tmp_path / "index"))
+    index.add(spark.range(1000).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("reading_id")), "reading_id", 0)
+    rows = spark.range(990, 3000).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("reading_id"))
+    fresh = index.unknown(rows.union(rows), "reading_id", 1)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan, plan
+    assert fresh.count() == 2 * 2000
